@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
-from functools import lru_cache
 from zoneinfo import ZoneInfo
 
 import numpy as np
@@ -11,8 +10,17 @@ import numpy as np
 FIRST, LAST = -2_208_988_800, 4_102_444_800  # 1900 to 2100
 
 
-@lru_cache(maxsize=None)
+TABLES: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def transitions(zone: str) -> tuple[np.ndarray, np.ndarray]:
+    """The zone's table, made once per process: see make_table."""
+    if zone not in TABLES:
+        TABLES[zone] = make_table(zone)
+    return TABLES[zone]
+
+
+def make_table(zone: str) -> tuple[np.ndarray, np.ndarray]:
     """(instants, offsets): from instants[i] on (epoch seconds) the zone is offsets[i] seconds ahead of UTC.
 
     Found by halving between probes six days apart, from the zone data installed with Python.
