@@ -37,9 +37,14 @@ class Hasher:
     def __init__(self, k: int, block: int) -> None:
         self.k = k
         with np.errstate(over="ignore"):
-            self.power = np.cumprod(np.concatenate(([1], np.full(block, MULTIPLIER, dtype=np.uint64))).astype(np.uint64), dtype=np.uint64)
-            inverse = pow(MULTIPLIER, -1, 1 << 64)
-            self.inverse = np.cumprod(np.concatenate(([1], np.full(block, inverse, dtype=np.uint64))).astype(np.uint64), dtype=np.uint64)
+            self.power = self._powers(MULTIPLIER, block)
+            self.inverse = self._powers(pow(MULTIPLIER, -1, 1 << 64), block)
+
+    @staticmethod
+    def _powers(base: int, n: int) -> np.ndarray:
+        factors = np.full(n + 1, base, dtype=np.uint64)
+        factors[0] = 1
+        return np.cumprod(factors, dtype=np.uint64)
 
     def __call__(self, codes: np.ndarray) -> np.ndarray:
         n = len(codes)
