@@ -79,8 +79,12 @@ def pieces(text: str, size: int) -> Iterator[tuple[bool, str]]:
             lead -= lead > 0 and run[lead - 1] == " "
             plain = {kind(c) for c in body}
             if len(plain) == 1 and plain <= {"l", "n", "o"} and "'" not in body and len(body) > size:
-                if first + lead > start:
-                    yield False, text[start : first + lead]
+                # Of several spaces before a run the last one stands apart from the others (or belongs to the run).
+                alone = lead > 1 and lead == len(run) - len(body)
+                if first + lead - alone > start:
+                    yield False, text[start : first + lead - alone]
+                if alone:
+                    yield False, run[lead - 1]
                 core = run[lead:]
                 for i in range(0, len(core), size):
                     yield True, core[i : i + size]
