@@ -12,7 +12,7 @@ def canonical_key(key: Column) -> Column:
     Separators are dropped and the last 64 hex digits count. A text without 64 hex digits is not a
     key of that kind: it stands for itself, trimmed and in lower case. Null stays null.
     """
-    plain = key.rlike("^[0-9a-f]{64}$")
+    plain = key.rlike(r"\A[0-9a-f]{64}\z")
     digits = F.when(plain, key).otherwise(F.regexp_replace(F.lower(key), "[^0-9a-f]", ""))
     hexed = F.substring(digits, -64, 64)
     return F.when(F.length(digits) >= 64, F.unhex(hexed)).otherwise(F.encode(F.lower(F.trim(key)), "UTF-8"))
