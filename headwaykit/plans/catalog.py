@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headwaykit.plans import pipeline_queries
+from headwaykit.plans import pipeline_queries, reference_queries
 
-MODULES = [pipeline_queries]
+MODULES = [pipeline_queries, reference_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +20,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    return pipeline_queries.p1_found(spark, folder)
+    return reference_queries.QUERIES["d13_trip_anomalies"](spark, folder)
