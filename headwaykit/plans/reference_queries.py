@@ -252,9 +252,9 @@ def _(v: Views) -> DataFrame:
     return v.table("temp_vehicle_events_stage").where("trip_id is not null").select("trip_id").union(v.table("gtfs_stop_instances").select("trip_id")).distinct()
 
 
-@query("j9_trips_never_seen", "select distinct trip_id from gtfs_stop_instances g where not exists (select 1 from temp_vehicle_events_stage s where s.trip_id = g.trip_id)")
+@query("j9_trips_without_schedule", "select distinct trip_id from temp_schedule_match_events e where not exists (select 1 from gtfs_stop_instances g where g.trip_id = e.trip_id)")
 def _(v: Views) -> DataFrame:
-    return v.table("gtfs_stop_instances").select("trip_id").distinct().join(v.table("temp_vehicle_events_stage"), "trip_id", "left_anti")
+    return v.table("temp_schedule_match_events").select("trip_id").distinct().join(v.schedule(), "trip_id", "left_anti")
 
 
 @query("filter_trip_types", "select case when trip_id like 'ADDED-%' then 'ADDED' when trip_id like 'NONREV%' then 'NONREV' else 'PLANNED' end as trip_type, count(*) as n from ev where trip_id is not null group by all", "ev")
