@@ -74,43 +74,64 @@ def anchors_of(text: str, hasher: Hasher, k: int, window: int, block: int = BLOC
     return np.concatenate(hashes)[first], place
 
 
-def thin(hashes: np.ndarray, places: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of anchors of one hash that follow each other within the window, the first and the last.
+def series(hashes: np.ndarray, places: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """(hash, place, run, step): anchors of one hash that follow each other within the window as one row.
 
-    Such a series is a periodic stretch (one letter over and over, say). A passage that two documents
-    share of it either lies in both stretches, and is then found from their first anchors, or runs on
-    to the left or right of one, and is then found from their first or last.
+    Grams that overlap their equals make a periodic stretch (one letter over and over, say): from place
+    to place + run + k the text repeats with period step. A lone anchor has run and step 0.
     """
-    if len(hashes) < 3:
-        return hashes, places
     order = np.lexsort((places, hashes))
     h, p = hashes[order], places[order]
-    near = (h[1:] == h[:-1]) & (p[1:] - p[:-1] <= window)
-    inner = np.concatenate(([False], near)) & np.concatenate((near, [False]))
-    return h[~inner], p[~inner]
+    gap = np.diff(p)
+    near = (h[1:] == h[:-1]) & (gap <= window)
+    begin = np.flatnonzero(np.concatenate(([True], ~near))) if len(h) else np.zeros(0, dtype=np.int64)
+    end = np.concatenate((begin[1:], [len(h)])) - 1 if len(h) else begin
+    step = np.zeros(len(begin), dtype=np.int64)
+    for i in np.flatnonzero(end > begin):
+        step[i] = gap[begin[i] : end[i]].min()
+    return h[begin], p[begin], p[end] - p[begin], step
+
+
+ANCHOR = "hash long, doc long, place int, run int, step int"
+CONTEXT = ANCHOR + ", left string, gram string, right string"
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], k: int, window: int) -> Iterator[pa.RecordBatch]:
     hasher = Hasher(k, BLOCK + k + window)
     for batch in batches:
-        ids, hashes, places = [], [], []
+        columns: list[list[np.ndarray]] = [[], [], [], [], []]
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            h, p = thin(*anchors_of(text, hasher, k, window), window)
-            ids.append(np.full(len(p), doc, dtype=np.int64))
-            hashes.append(h.view(np.int64))
-            places.append(p.astype(np.int32))
-        if ids:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (hashes, ids, places)], names=["hash", "doc", "place"])
+            h, p, run, step = series(*anchors_of(text, hasher, k, window), window)
+            for column, x in zip(columns, (h.view(np.int64), np.full(len(p), doc, dtype=np.int64), p.astype(np.int32), run.astype(np.int32), step.astype(np.int32))):
+                column.append(x)
+        if columns[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in columns], names=["hash", "doc", "place", "run", "step"])
+
+
+def stretch(text: str, place: int, run: int, k: int, window: int) -> tuple[int, int, int]:
+    """(place, run, step) of the whole periodic stretch around an anchor, which winnowing sees only part of near its ends."""
+    gram = text[place : place + k]
+    step = text.find(gram, place + 1, place + window + k) - place
+    if step < 0:
+        step = place - text.rfind(gram, max(0, place - window), place + k - 1)
+        if not 0 < step <= window or not place - step >= 0:
+            return place, 0, 0
+    end = place + run + k
+    while len(text) >= end + step and text[end : end + step] == text[end - step : end]:
+        end += step
+    while place >= step and text[place - step : place] == text[place : place + step]:
+        place -= step
+    return place, end - k - place, step
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], k: int, margin: int) -> Iterator[pa.RecordBatch]:
-    """Rows (doc, text, [(hash, place)]) to one row per anchor with its gram and what stands beside it."""
+    """Rows (doc, text, seeds) to one row per seed with its gram and what stands beside it (left: read backwards)."""
     for batch in batches:
         rows: list[tuple] = []
         for doc, text, seeds in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            for seed in seeds:
-                h, p = seed["hash"], seed["place"]
-                rows.append((h, doc, p, text[max(0, p - margin) : p][::-1], text[p : p + k], text[p + k : p + k + margin]))
+            for h, p, run, step in sorted({(seed["hash"], *stretch(text, seed["place"], seed["run"], k, margin + 1)) for seed in seeds}):
+                end = p + run + k
+                rows.append((h, doc, p, run, step, text[max(0, p - margin) : p][::-1], text[p : p + k], text[end : end + margin]))
             if len(rows) > 20_000:
                 yield _context_batch(rows)
                 rows = []
@@ -119,8 +140,9 @@ def _contexts(batches: Iterator[pa.RecordBatch], k: int, margin: int) -> Iterato
 
 
 def _context_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string())
-    return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), kinds)], names=["hash", "doc", "place", "left", "gram", "right"])
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string())
+    names = ["hash", "doc", "place", "run", "step", "left", "gram", "right"]
+    return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), kinds)], names=names)
 
 
 def _common(a: str, b: str) -> int:
@@ -137,16 +159,52 @@ def _common(a: str, b: str) -> int:
     return low
 
 
-def _extend(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+def alignments(short: tuple, long: tuple, gram: str, k: int, margin: int) -> Iterator[tuple[int, int, int, int]]:
+    """(offset in short, offset in long, left, right): how far the repeats of two periodic stretches reach.
+
+    short and long are (run, step, left, right). The short stretch is laid on the first and the last place
+    of the long one, at places between that together cover it, and one period beyond either end, where what
+    is left of a period at the other's edge finds its like. Which repeats there are besides, and they are
+    many, all lie within these.
+    """
+    step = min(x[1] for x in (short, long) if x[1])
+    period = gram[:step]
+
+    def beside(stretch: tuple, offset: int, core: int) -> tuple[str, str]:
+        run, _, left, right = stretch
+        before = (period * (min(offset, margin) // step + 1))[::-1][: min(offset, margin)]
+        rest = min(run - offset - core, margin)
+        turn = (offset + core + k) % step
+        after = (period * (rest // step + 2))[turn : turn + rest]
+        return (before + left)[:margin], (after + right)[:margin]
+
+    run, whole = short[0], long[0]
+    stride = (run + k) // step * step
+    for shift in dict.fromkeys([-step, 0, *range(stride, whole - run, stride), whole - run, whole - run + step]):
+        a, b = max(0, -shift), max(0, shift)
+        core = min(run - a, whole - b)
+        if core >= 0:
+            (left_a, right_a), (left_b, right_b) = beside(short, a, core), beside(long, b, core)
+            yield a, b, _common(left_a, left_b), core + _common(right_a, right_b)
+
+
+def _extend(batches: Iterator[pa.RecordBatch], k: int, margin: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of seeds to repeats (doc_a, doc_b, diagonal, start_a, end_a)."""
     for batch in batches:
-        a, b, pa_, pb, la, lb, ra, rb = (batch.column(i).to_pylist() for i in range(8))
-        left = np.fromiter(map(_common, la, lb), dtype=np.int64, count=len(la))
-        right = np.fromiter(map(_common, ra, rb), dtype=np.int64, count=len(ra))
-        at_a, at_b = np.array(pa_, dtype=np.int64), np.array(pb, dtype=np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(at_a - at_b), pa.array(at_a - left), pa.array(at_a + k + right)],
-            names=["doc_a", "doc_b", "diagonal", "start_a", "end_a"],
-        )
+        out: list[tuple[int, int, int, int, int]] = []
+        for a, b, p, q, run_a, run_b, step_a, step_b, left_a, left_b, right_a, right_b, gram in zip(*(c.to_pylist() for c in batch.columns)):
+            if not run_a and not run_b:
+                out.append((a, b, p - q, p - _common(left_a, left_b), p + k + _common(right_a, right_b)))
+                continue
+            one, two = (run_a, step_a, left_a, right_a), (run_b, step_b, left_b, right_b)
+            if run_a <= run_b:
+                found = ((p + x, q + y, left, right) for x, y, left, right in alignments(one, two, gram, k, margin))
+            else:
+                found = ((p + y, q + x, left, right) for x, y, left, right in alignments(two, one, gram, k, margin))
+            out += [(a, b, at_a - at_b, at_a - left, at_a + k + right) for at_a, at_b, left, right in found]
+        if out:
+            names = ["doc_a", "doc_b", "diagonal", "start_a", "end_a"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
 
 
 def text_classes(documents: DataFrame, id_column: str, text: str, least: int) -> DataFrame:
@@ -168,19 +226,16 @@ def shared_spans(documents: DataFrame, classes: DataFrame, id_column: str = "doc
     # Ids repeat only if rows do; one row of each is enough.
     texts = documents.select(F.col(id_column).cast("long").alias("doc"), F.make_valid_utf8(text).alias("text")).where(F.char_length("text") >= least)
     used = texts.join(reps, "doc", "left_semi").dropDuplicates(["doc"])
-    anchors = used.mapInArrow(partial(_anchors, k=k, window=window), "hash long, doc long, place int")
+    anchors = used.mapInArrow(partial(_anchors, k=k, window=window), ANCHOR)
     repeated = anchors.groupBy("hash").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("hash")
-    seeds = anchors.join(repeated, "hash", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("hash", "place")).alias("seeds"))
+    seeds = anchors.join(repeated, "hash", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("hash", "place", "run", "step")).alias("seeds"))
     # collect_list is bounded by the document's own length.
-    around = texts.join(seeds, "doc").select("doc", "text", "seeds").mapInArrow(
-        partial(_contexts, k=k, margin=window - 1), "hash long, doc long, place int, left string, gram string, right string"
-    )
+    around = used.join(seeds, "doc").select("doc", "text", "seeds").mapInArrow(partial(_contexts, k=k, margin=window - 1), CONTEXT)
     x, y = around.alias("x"), around.alias("y")
-    met = x.join(y, (F.col("x.hash") == F.col("y.hash")) & (F.col("x.doc") < F.col("y.doc")) & (F.col("x.gram") == F.col("y.gram"))).select(
-        F.col("x.doc").alias("a"), F.col("y.doc").alias("b"), F.col("x.place").alias("pa"), F.col("y.place").alias("pb"),
-        F.col("x.left").alias("la"), F.col("y.left").alias("lb"), F.col("x.right").alias("ra"), F.col("y.right").alias("rb"),
-    )
-    pieces = met.mapInArrow(partial(_extend, k=k), "doc_a long, doc_b long, diagonal long, start_a long, end_a long")
+    both = [F.col(f"{side}.{c}").alias(f"{c}_{side}") for c in ("doc", "place", "run", "step", "left", "right") for side in "xy"]
+    same = (F.col("x.hash") == F.col("y.hash")) & (F.col("x.doc") < F.col("y.doc")) & (F.col("x.gram") == F.col("y.gram"))
+    met = x.join(y, same).select(*both, F.col("x.gram").alias("gram"))
+    pieces = met.mapInArrow(partial(_extend, k=k, margin=window - 1), "doc_a long, doc_b long, diagonal long, start_a long, end_a long")
     line = Window.partitionBy("doc_a", "doc_b", "diagonal").orderBy("start_a", "end_a")
     reach = F.max("end_a").over(line.rowsBetween(Window.unboundedPreceding, -1))
     numbered = pieces.withColumn("_new", F.when(F.col("start_a") <= reach, 0).otherwise(1)).withColumn("_no", F.sum("_new").over(line))
