@@ -226,11 +226,12 @@ def shared_spans(documents: DataFrame, classes: DataFrame, id_column: str = "doc
     # Ids repeat only if rows do; one row of each is enough.
     texts = documents.select(F.col(id_column).cast("long").alias("doc"), F.make_valid_utf8(text).alias("text")).where(F.char_length("text") >= least)
     used = texts.join(reps, "doc", "left_semi").dropDuplicates(["doc"])
-    anchors = used.mapInArrow(partial(_anchors, k=k, window=window), ANCHOR)
+    # Read twice below: written once to the checkpoint folder rather than hashed again.
+    anchors = used.mapInArrow(partial(_anchors, k=k, window=window), ANCHOR).checkpoint()
     repeated = anchors.groupBy("hash").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("hash")
     seeds = anchors.join(repeated, "hash", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("hash", "place", "run", "step")).alias("seeds"))
     # collect_list is bounded by the document's own length.
-    around = used.join(seeds, "doc").select("doc", "text", "seeds").mapInArrow(partial(_contexts, k=k, margin=window - 1), CONTEXT)
+    around = used.join(seeds, "doc").select("doc", "text", "seeds").mapInArrow(partial(_contexts, k=k, margin=window - 1), CONTEXT).checkpoint()
     x, y = around.alias("x"), around.alias("y")
     both = [F.col(f"{side}.{c}").alias(f"{c}_{side}") for c in ("doc", "place", "run", "step", "left", "right") for side in "xy"]
     same = (F.col("x.hash") == F.col("y.hash")) & (F.col("x.doc") < F.col("y.doc")) & (F.col("x.gram") == F.col("y.gram"))
