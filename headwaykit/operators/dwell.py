@@ -1,11 +1,13 @@
 """Stops and trips from location pings.
 
-Pings are cut into chunks of (vehicle, UTC day), so that no vehicle is one task. In each chunk a
+Pings are cut into chunks of (vehicle, six hours), so that no vehicle is one task. In each chunk a
 sorted stream encodes dwell as runs on a metric grid: a ping whose cell is not in the neighbourhood of
 the run's cell is elsewhere at once, any other is held against the run's centre by true distance; one ping elsewhere is kept pending and does not end the run (hysteresis), two in a row do.
-What can no longer change becomes a stop record or melts into a motion record; only a few records
-per chunk go on to a second stream per vehicle, which joins runs over chunk borders by the same
-rule and emits stops and the trips between them.
+A chunk's first pings go on singly until what follows no longer depends on what came before: two pings
+in a row at one place, three that no place holds two of, or a silence. From there on, what can no
+longer change becomes a stop record or melts into a motion record; only a few records per chunk go on
+to a second stream per vehicle, which joins runs over chunk borders by the same rule and emits stops
+and the trips between them.
 """
 
 from __future__ import annotations
@@ -118,7 +120,7 @@ RECORD_FIELDS = [
 
 
 class ChunkEncoder(Machine):
-    """First stream: pings of one (vehicle, day) to the records that the second stream needs."""
+    """First stream: pings of one (vehicle, chunk) to the records that the second stream needs."""
 
     fields = RECORD_FIELDS
 
@@ -137,11 +139,41 @@ class ChunkEncoder(Machine):
         super().start(key)
         self.dwell.reset()
         self.closed, self.seq, self.motion, self.silent, self.cell = 0, 0, None, False, None
+        self.head: list[list] | None = []
+
+    def _begin(self, rec: list) -> None:
+        """A ping while the state at the chunk's start still matters."""
+        head, dwell, radius = self.head, self.dwell, self.dwell.radius
+        gap = bool(head) and rec[T0] - head[-1][T1] > dwell.silence
+        apart = lambda a, b: haversine(a[LAT0], a[LON0], b[LAT0], b[LON0])
+        if gap:
+            first, state = head, []
+        elif head and apart(head[-1], rec) <= radius:
+            first, state = head[:-1], [head[-1], rec]
+        elif len(head) > 1 and min(apart(head[-1], rec), apart(head[-2], rec), apart(head[-2], head[-1])) > 2 * radius:
+            first, state = head[:-1], [head[-1], rec]
+        else:
+            head.append(rec)
+            return
+        for x in first:
+            self._emit(x)
+        self.head = None
+        dwell.prev = rec[T1]
+        if gap:
+            dwell.cur = rec
+        elif apart(*state) <= radius:
+            dwell.cur = state[0]
+            dwell.join(dwell.cur, rec)
+        else:
+            dwell.cur, dwell.pend = state
 
     def feed(self, i: int, j: int) -> None:
         dwell, t, lat, lon, band, row, column = self.dwell, self.t, self.lat, self.lon, self.band, self.row, self.column
         for k in range(i, j):
             rec = [t[k], t[k], 1, lat[k], lon[k], lat[k], lon[k], lat[k], lon[k], 0.0]
+            if self.head is not None:
+                self._begin(rec)
+                continue
             cur, cell, elsewhere = dwell.cur, self.cell, False
             if cur is not None and cell is not None and cell[0] == band[k]:
                 # The cell is that of the last ping that joined: the centre is within the radius of it, what is there within twice that.
@@ -183,7 +215,7 @@ class ChunkEncoder(Machine):
 
     def finish(self) -> None:
         self._end_motion()
-        for rec in (self.dwell.cur, self.dwell.pend):
+        for rec in (*(self.head or ()), self.dwell.cur, self.dwell.pend):
             if rec is not None:
                 self._emit(rec)
         self.dwell.reset()
@@ -258,6 +290,7 @@ def stops_and_trips(
     min_stop_s: int = 180,
     silence_s: int = 1800,
     max_speed_ms: float = 60.0,
+    chunk_s: int = 21_600,
 ) -> DataFrame:
     """Stops and trips per vehicle: vehicle_id, kind, start_us, end_us, duration_s, distance_m, pings, latitude, longitude.
 
@@ -267,7 +300,8 @@ def stops_and_trips(
     of stage_row. A stop is a stay within radius_m of the mean of its pings for min_stop_s or more; one
     ping elsewhere or a silence of up to silence_s does not end it, two pings in a row elsewhere do. A
     trip joins two stops without a longer silence between; its distance leaves out pings that no vehicle
-    could reach (max_speed_ms). An empty table, or a vehicle that never stops, gives no rows.
+    could reach (max_speed_ms). chunk_s only sets how the work is cut: it can
+    decide only about pings that lie near the radius from a run that a cut goes through. An empty table, or a vehicle that never stops, gives no rows.
     """
     usable = pings.where(
         F.col("vehicle_id").isNotNull() & F.col("vehicle_timestamp").isNotNull()
@@ -276,10 +310,10 @@ def stops_and_trips(
     )
     once = first_arrivals(usable, ["vehicle_id", "vehicle_timestamp", "stage_row", "latitude", "longitude"])
     fixes = once.select("vehicle_id", F.unix_micros("vehicle_timestamp").alias("t"), "stage_row", "latitude", "longitude").withColumn(
-        "day", F.floor(F.col("t") / 86_400_000_000).cast("long")
+        "chunk", F.floor(F.col("t") / F.lit(chunk_s * 1_000_000)).cast("long")
     )
     args = (radius_m, min_stop_s * 1_000_000, silence_s * 1_000_000, max_speed_ms)
-    records = sorted_stream(fixes, ["vehicle_id", "day"], ["t", "stage_row"], partial(ChunkEncoder, *args), RECORD_FIELDS)
+    records = sorted_stream(fixes, ["vehicle_id", "chunk"], ["t", "stage_row"], partial(ChunkEncoder, *args), RECORD_FIELDS)
     found = sorted_stream(records, ["vehicle_id"], ["t0", "seq"], partial(VehicleStitcher, *args), FOUND_FIELDS)
     return found.withColumn("duration_s", (F.col("end_us") - F.col("start_us")) / 1e6)
 
