@@ -112,8 +112,8 @@ def mix(
     )
     table = spark.createDataFrame([(s, places) for s, places in slots.items()], "source string, _slots array<int>")
     shared = placed.groupBy("source").agg(F.sum(F.col("uses") * F.col("size")).alias("_used"))
-    whole = shared.agg(F.sum("_used").alias("_all"))
-    shares = shared.crossJoin(F.broadcast(whole)).select("source", F.try_divide("_used", "_all").alias("actual_share"))  # one row
+    whole = F.sum("_used").over(Window.partitionBy(F.lit(1)))  # over a row per target
+    shares = shared.select("source", F.try_divide("_used", whole).alias("actual_share"))
     block_of = lambda u: F.floor((u * F.col("_total") + F.col("_at")) / F.lit(block)).cast("int")
     slot_of = lambda u: F.element_at(F.col("_slots"), F.least(block_of(u) + 1, F.size("_slots")))
     uses = F.when(F.col("uses") > 0, F.transform(F.sequence(F.lit(0), F.col("uses") - 1), lambda u: F.when(F.size("_slots") > 0, slot_of(u))))

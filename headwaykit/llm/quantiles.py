@@ -132,22 +132,23 @@ def _schema(df: DataFrame, names: list[str]) -> str:
     return ", ".join([*(f"`{c}` {kinds[c]}" for c in names), SUMMARY])
 
 
-def summarise(rows: DataFrame, groups: list[str], value: str, k: int = 256, held: int = 4_000_000) -> DataFrame:
+def summarise(rows: DataFrame, groups: list[str], value: str, k: int = 256, held: int = 4_000_000, fan_in: int = 16) -> DataFrame:
     """One summary per group: rows (groups, level, vals).
 
     Each task makes partial summaries first, so what is shuffled is a few buffers per task and group,
-    however many rows a group has. Null and NaN are no values; a group without values has no rows; null
+    however many rows a group has; those of a group merge in fan_in parts, then in one. Null and NaN are no values; a group without values has no rows; null
     is a group key like any other. Columns other than those named are ignored.
     """
     used = rows.select(*groups, F.col(value).cast("double").alias("_value")).where(F.col("_value").isNotNull() & ~F.isnan("_value"))
     partial_rows = used.mapInArrow(partial(_build, k=k, limit=held, names=groups), _schema(rows, groups))
-    return merge_summaries(partial_rows, groups, k)
+    part = partial_rows.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(fan_in)))
+    return merge_summaries(merge_summaries(part, [*groups, "_part"], k).drop("_part"), groups, k)
 
 
 def merge_summaries(summaries: DataFrame, groups: list[str], k: int = 256) -> DataFrame:
     """Merges summaries (of parts, days, earlier runs) into one per group; k must be that of the parts."""
     placed = summaries.repartition(*groups).sortWithinPartitions(*groups, "level") if groups else summaries.coalesce(1)
-    return placed.mapInArrow(partial(_merge, k=k, names=groups), _schema(summaries, groups))
+    return placed.select(*groups, "level", "vals").mapInArrow(partial(_merge, k=k, names=groups), _schema(summaries, groups))
 
 
 def packed(summaries: DataFrame, groups: list[str]) -> DataFrame:

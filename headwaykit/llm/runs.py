@@ -1,6 +1,6 @@
 """Runs of equal consecutive events, collapsed to one event each by a sorted state machine.
 
-Events are cut into chunks of (vehicle, trip, UTC day), so no entity is one task. The machine holds
+Events are cut into chunks of (vehicle, trip, six hours), so no entity is one task. The machine holds
 the run's anchor (its status and stop sequence) against each event; runs that nothing before or after
 the chunk can change are final, those at its ends go on as partial runs to a second pass of the same
 machine per entity.
@@ -102,7 +102,7 @@ class RunMachine(Machine):
         self.cur = None
 
 
-def collapse_runs(events: DataFrame, max_step_s: int = 600, sequence_tolerance: int = 0) -> DataFrame:
+def collapse_runs(events: DataFrame, max_step_s: int = 600, sequence_tolerance: int = 0, chunk_s: int = 21_600) -> DataFrame:
     """Maximal runs per (vehicle_id, trip_id): t0, t1 (microseconds), n, status, sequence.
 
     events: event_key, stage_row, ingestion_timestamp, vehicle_id, trip_id, vehicle_timestamp,
@@ -111,17 +111,17 @@ def collapse_runs(events: DataFrame, max_step_s: int = 600, sequence_tolerance:
     order of stage_row. A step over max_step_s starts a new sequence. A null takes the value before it in
     its sequence, at the start of one it stays null, and null equals null only. An event belongs to a run
     if its status is the anchor's and its stop sequence differs from the anchor's by at most
-    sequence_tolerance. An empty table gives no rows.
+    sequence_tolerance. chunk_s only sets how the work is cut. An empty table gives no rows.
     """
     usable = events.where("vehicle_id is not null and trip_id is not null and vehicle_timestamp is not null")
     once = first_arrivals(usable, ["vehicle_id", "trip_id", "vehicle_timestamp", "stage_row", "current_status", "current_stop_sequence"])
     steps = once.select(
         "vehicle_id", "trip_id", F.unix_micros("vehicle_timestamp").alias("t"), "stage_row",
         F.col("current_status").cast("long").alias("current_status"), F.col("current_stop_sequence").cast("long").alias("current_stop_sequence"),
-    ).withColumn("day", F.floor(F.col("t") / 86_400_000_000).cast("long"))
+    ).withColumn("chunk", F.floor(F.col("t") / F.lit(chunk_s * 1_000_000)).cast("long"))
     machine = partial(RunMachine, max_step_s * 1_000_000, sequence_tolerance)
-    chunks = sorted_stream(steps, ["vehicle_id", "trip_id", "day"], ["t", "stage_row"], partial(machine, False), FIELDS)
-    # Final runs pass through by day, so that an entity's second pass holds only the partial ones.
-    part = F.when(F.col("final"), F.floor(F.col("t0") / 86_400_000_000)).otherwise(-1).cast("long")
+    chunks = sorted_stream(steps, ["vehicle_id", "trip_id", "chunk"], ["t", "stage_row"], partial(machine, False), FIELDS)
+    # Final runs pass through by chunk, so that an entity's second pass holds only the partial ones.
+    part = F.when(F.col("final"), F.floor(F.col("t0") / F.lit(chunk_s * 1_000_000))).otherwise(-1).cast("long")
     joined = sorted_stream(chunks.withColumn("part", part), ["vehicle_id", "trip_id", "part"], ["t0"], partial(machine, True), FIELDS)
     return joined.drop("apart", "final")
