@@ -75,7 +75,7 @@ BLOCKS: dict[str, tuple[list[str], str]] = {
         select 'H' as feed_checksum, service_date, trip_id, stop_sequence, stop_id, route_id, direction_id, service_hour, isodow(service_date) >= 6 as is_weekend,
         case when not isnan(arrival_deviation_seconds) then floor(arrival_deviation_seconds)::bigint end as dev, (stop_sequence * 7 + length(trip_id) + day(service_date)) % 90 as unsure
         from (select *, row_number() over (partition by service_date, trip_id, stop_sequence, stop_id order by updated_at) as rn from historical_stop_features) where rn = 1)"""),
-    "bl": (["vis"], """select *, q3 - q1 as iqr, q1 - 1.5 * (q3 - q1) as low, q3 + 1.5 * (q3 - q1) as high from (
+    "bl": (["vis"], """select *, q3 - q1 as iqr, q1 - 1.5::double * (q3 - q1) as low, q3 + 1.5::double * (q3 - q1) as high from (
         select 'HOURLY' as lvl, route_id, direction_id, stop_id, is_weekend, service_hour, count(*) as n, quantile_disc(dev, 0.25) as q1, quantile_disc(dev, 0.5) as med, quantile_disc(dev, 0.75) as q3
         from vis where dev is not null group by all having count(*) >= 30
         union all select 'FALLBACK', route_id, direction_id, stop_id, is_weekend, null, count(*), quantile_disc(dev, 0.25), quantile_disc(dev, 0.5), quantile_disc(dev, 0.75)
