@@ -54,58 +54,108 @@ class Hasher:
             return _mix((sums[self.k :] - sums[: -self.k]) * self.inverse[: n - self.k + 1])
 
 
-def anchors_of(text: str, hasher: Hasher, k: int, window: int, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, positions) of a text's anchors; texts shorter than k + window - 1 have none."""
-    codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
-    n, reach = len(codes), k + window - 1
-    hashes, places = [], []
-    for start in range(0, max(0, n - reach + 1), block):
-        part = codes[start : start + block + reach - 1]
-        if len(part) < reach:
-            break
-        grams = hasher(part)
-        least = np.lib.stride_tricks.sliding_window_view(grams, window).argmin(axis=1) + np.arange(len(grams) - window + 1)
-        least = np.unique(least)
-        hashes.append(grams[least])
-        places.append(least + start)
-    if not places:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    place, first = np.unique(np.concatenate(places), return_index=True)
-    return np.concatenate(hashes)[first], place
-
-
-def series(hashes: np.ndarray, places: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
-    """(hash, place, run, step): anchors of one hash that follow each other within the window as one row.
+def sliding_least(values: np.ndarray, window: int) -> np.ndarray:
+    """Least value of each `window` consecutive ones, by running minima from both ends of blocks of that length."""
+    n = len(values)
+    blocks = -(-n // window)
+    padded = np.full(blocks * window, np.iinfo(values.dtype).max, dtype=values.dtype)
+    padded[:n] = values
+    table = padded.reshape(blocks, window)
+    ahead = np.minimum.accumulate(table, axis=1).ravel()
+    back = np.minimum.accumulate(table[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(back[: n - window + 1], ahead[window - 1 : n])
+
+
+def anchors_of(texts: list[str], hasher: Hasher, k: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the text, hash, place) of the anchors of several texts at once: of each window the leftmost gram of least hash.
+
+    Texts shorter than k + window - 1 have none.
+    """
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
+    lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    offsets = np.cumsum(lengths) - lengths
+    windows = np.maximum(lengths - (k + window - 2), 0)
+    total = int(windows.sum())
+    if not total:
+        return (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))
+    grams = hasher(codes)
+    before = np.cumsum(windows) - windows
+    starts = np.arange(total) + np.repeat(offsets - before, windows)
+    least = sliding_least(grams, window)[starts]
+    # A new least value, or a new text, begins a stretch of windows that share an anchor.
+    new = np.concatenate(([True], (least[1:] != least[:-1]) | (np.diff(starts) != 1)))
+    begin = np.flatnonzero(new)
+    last = starts[np.concatenate((begin[1:], [total])) - 1]
+    view = np.lib.stride_tricks.sliding_window_view(grams, window)
+    first = starts[begin]
+    place = view[first].argmin(axis=1) + first
+    # Where windows outlive their anchor the value occurs again: those windows are looked at one by one.
+    more = [view[p + 1 : e + 1].argmin(axis=1) + np.arange(p + 1, e + 1) for p, e in zip(place[place < last].tolist(), last[place < last].tolist())]
+    place = np.unique(np.concatenate([place, *more]))
+    text = np.searchsorted(offsets, place, side="right") - 1
+    return text, grams[place], place - offsets[text]
+
+
+def series(texts: np.ndarray, hashes: np.ndarray, places: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """(text, hash, place, run, step): a text's anchors of one hash that follow each other within the window as one row.
 
     Grams that overlap their equals make a periodic stretch (one letter over and over, say): from place
     to place + run + k the text repeats with period step. A lone anchor has run and step 0.
     """
-    order = np.lexsort((places, hashes))
-    h, p = hashes[order], places[order]
+    if not len(hashes):
+        return texts, hashes, places, places, places
+    order = np.lexsort((places, hashes, texts))
+    d, h, p = texts[order], hashes[order], places[order]
     gap = np.diff(p)
-    near = (h[1:] == h[:-1]) & (gap <= window)
-    begin = np.flatnonzero(np.concatenate(([True], ~near))) if len(h) else np.zeros(0, dtype=np.int64)
-    end = np.concatenate((begin[1:], [len(h)])) - 1 if len(h) else begin
+    near = (d[1:] == d[:-1]) & (h[1:] == h[:-1]) & (gap <= window)
+    begin = np.flatnonzero(np.concatenate(([True], ~near)))
+    end = np.concatenate((begin[1:], [len(h)])) - 1
     step = np.zeros(len(begin), dtype=np.int64)
     for i in np.flatnonzero(end > begin):
         step[i] = gap[begin[i] : end[i]].min()
-    return h[begin], p[begin], p[end] - p[begin], step
+    return d[begin], h[begin], p[begin], p[end] - p[begin], step
+
+
+def groups_of(texts: list[str], block: int, reach: int) -> Iterator[list[tuple[int, int, str]]]:
+    """(number, offset, text) in groups of up to `block` code points; a longer text in parts that overlap by reach - 1."""
+    group: list[tuple[int, int, str]] = []
+    size = 0
+    for number, text in enumerate(texts):
+        for start in range(0, max(1, len(text) - reach + 1), block):
+            part = text[start : start + block + reach - 1]
+            if group and size + len(part) > block:
+                yield group
+                group, size = [], 0
+            group.append((number, start, part))
+            size += len(part)
+    if group:
+        yield group
 
 
 ANCHOR = "hash long, doc long, place int, run int, step int"
 CONTEXT = ANCHOR + ", left string, gram string, right string"
 
 
+def anchor_table(texts: list[str], hasher: Hasher, k: int, window: int, block: int = BLOCK) -> tuple[np.ndarray, ...]:
+    """series of all texts."""
+    found: list[list[np.ndarray]] = [[], [], []]
+    for group in groups_of(texts, block, k + window - 1):
+        number, offset = (np.array(x, dtype=np.int64) for x in list(zip(*group))[:2])
+        part, hashes, places = anchors_of([t for _, _, t in group], hasher, k, window)
+        for column, x in zip(found, (number[part], hashes, places + offset[part])):
+            column.append(x)
+    if not found[0]:
+        return series(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), window)
+    return series(*map(np.concatenate, found), window)
+
+
 def _anchors(batches: Iterator[pa.RecordBatch], k: int, window: int) -> Iterator[pa.RecordBatch]:
     hasher = Hasher(k, BLOCK + k + window)
     for batch in batches:
-        columns: list[list[np.ndarray]] = [[], [], [], [], []]
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            h, p, run, step = series(*anchors_of(text, hasher, k, window), window)
-            for column, x in zip(columns, (h.view(np.int64), np.full(len(p), doc, dtype=np.int64), p.astype(np.int32), run.astype(np.int32), step.astype(np.int32))):
-                column.append(x)
-        if columns[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in columns], names=["hash", "doc", "place", "run", "step"])
+        ids = np.array(batch.column(0).to_pylist(), dtype=np.int64)
+        number, hashes, place, run, step = anchor_table(batch.column(1).to_pylist(), hasher, k, window)
+        columns = (hashes.view(np.int64), ids[number], *(x.astype(np.int32) for x in (place, run, step)))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["hash", "doc", "place", "run", "step"])
 
 
 def stretch(text: str, place: int, run: int, k: int, window: int) -> tuple[int, int, int]:

@@ -13,7 +13,7 @@ from headwaykit.llm.mixing import amounts, fair_slots, mix
 from headwaykit.llm.nearest import match_nearest
 from headwaykit.llm.quantiles import error_bound, merge_summaries, packed, percentile_columns, rank_share, summarise
 from headwaykit.llm.runs import collapse_runs
-from headwaykit.llm.spans import Hasher, anchors_of, shared_amounts, shared_spans, sharing_pairs, text_classes
+from headwaykit.llm.spans import Hasher, anchor_table, shared_amounts, shared_spans, sharing_pairs, text_classes
 from headwaykit.llm.tokens import encode_corpus, encode_long, encoder, vocabulary_file
 
 START = datetime(2026, 3, 1, 20, 0, tzinfo=timezone.utc)
@@ -333,8 +333,39 @@ def test_gram_hashes_do_not_depend_on_their_place():
     a = hasher(np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32))
     b = hasher(np.frombuffer(("zzz" * 700 + text).encode("utf-32-le"), dtype=np.uint32))
     assert (a == b[2100:]).all() and len(set(a.tolist())) == len({text[i : i + 20] for i in range(281)})
-    whole, parts = (anchors_of(text * 9, Hasher(20, 9000), 20, 11, block) for block in (1 << 20, 256))
-    assert (whole[0] == parts[0]).all() and (whole[1] == parts[1]).all()
+
+
+def plain_anchors(text, hasher, k, window):
+    """Leftmost least gram of each window, one by one; then series as sets of (hash, first place, run)."""
+    if len(text) < k + window - 1:
+        return set()
+    grams = hasher(np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)).tolist()
+    picked = sorted({min(range(a, a + window), key=lambda i: (grams[i], i)) for a in range(len(grams) - window + 1)})
+    out, by = set(), defaultdict(list)
+    for p in picked:
+        by[grams[p]].append(p)
+    for h, places in by.items():
+        begin = prev = places[0]
+        for p in [*places[1:], None]:
+            if p is None or p - prev > window:
+                out.add((h, begin, prev - begin))
+                begin = p
+            prev = p
+    return out
+
+
+@pytest.mark.parametrize("block", [1 << 20, 256])
+def test_anchors_of_many_texts_equal_those_of_each(block):
+    random.seed(11)
+    word = lambda: "".join(random.choice("ab c") for _ in range(random.randrange(0, 120)))
+    texts = ["".join(random.choice((word(), "x" * 70, "xyz" * 30)) for _ in range(random.randrange(0, 8))) for _ in range(60)] + ["", "a" * 29, "q" * 30, "ab" * 500]
+    hasher = Hasher(20, 40_000)
+    number, hashes, place, run, _ = anchor_table(texts, hasher, 20, 11, block)
+    got = defaultdict(set)
+    for t, h, p, r in zip(number.tolist(), hashes.tolist(), place.tolist(), run.tolist()):
+        got[t].add((h, p, r))
+    for i, text in enumerate(texts):
+        assert got[i] == plain_anchors(text, hasher, 20, 11)
 
 
 def test_spans_of_nothing(spark):
