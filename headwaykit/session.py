@@ -22,11 +22,11 @@ def build_session(app: str = "headwaykit", master: str | None = None, **conf: st
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """The shared checkpoint folder: the cluster's own setting, or `fallback` where it is unset."""
+    """The shared checkpoint folder: the cluster's own setting; on one machine, where it is unset, `fallback`."""
     context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None and context.getCheckpointDir() is None:
-        context.setCheckpointDir(fallback)
-    elif shared is not None and context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared)
+    if context.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not (context.master.startswith("local") and "cluster" not in context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(shared or fallback)
     return context.getCheckpointDir()

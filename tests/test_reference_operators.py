@@ -181,3 +181,9 @@ def test_historical_features_end_of_trip_and_clock_rule(spark):
     assert rows[2].departure_timestamp is None and rows[2].baseline_eligible is False
     clock = {r.stop_sequence: r for r in performance.clock_features(h).collect()}
     assert (clock[1].trip_type, clock[1].service_hour, clock[2].service_hour) == ("ADDED", 10, 1)
+
+
+def test_checkpoint_folder_is_kept_once_set(spark, tmp_path):
+    from headwaykit.session import checkpoint_dir
+
+    assert checkpoint_dir(spark, str(tmp_path)) == spark.sparkContext.getCheckpointDir() != str(tmp_path)
