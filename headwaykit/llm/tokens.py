@@ -74,13 +74,13 @@ def pieces(text: str, size: int) -> Iterator[tuple[bool, str]]:
             stop = next((i for i in range(end + 1, n) if border(text[i - 1], text[i])), n)
             first = next((i for i in range(max(start, end - 1024), start, -1) if border(text[i - 1], text[i])), start)
             run = text[first:stop]
-            body = run.lstrip()
-            lead = len(run) - len(body)
-            lead -= lead > 0 and run[lead - 1] == " "
+            spaces = next((i for i, c in enumerate(run) if kind(c) != "s"), len(run))
+            body = run[spaces:]
+            lead = spaces - (spaces > 0 and run[spaces - 1] == " ")
             plain = {kind(c) for c in body}
             if len(plain) == 1 and plain <= {"l", "n", "o"} and "'" not in body and len(body) > size:
                 # Of several spaces before a run the last one stands apart from the others (or belongs to the run).
-                alone = lead > 1 and lead == len(run) - len(body)
+                alone = lead > 1 and lead == spaces
                 if first + lead - alone > start:
                     yield False, text[start : first + lead - alone]
                 if alone:
