@@ -23,8 +23,8 @@ def event_identity(key: Column, row_id: Column) -> Column:
     return F.coalesce(canonical_key(key), F.encode(F.concat(F.lit("row:"), row_id.cast("string")), "UTF-8"))
 
 
-def first_arrivals(rows: DataFrame, keep: list[str], key: str = "event_key", ingested: str = "ingestion_timestamp", row_id: str = "stage_row") -> DataFrame:
-    """One row per event, its first by (ingestion, row id), with the columns `keep`.
+def first_arrivals(rows: DataFrame, keep: list[str], key: str = "event_key", ingested: str = "ingestion_timestamp", row_id: str = "stage_row", identity: str | None = None) -> DataFrame:
+    """One row per event, its first by (ingestion, row id), with the columns `keep` (and its identity, under that name if given).
 
     An aggregate, so copies are combined before the shuffle and a key that holds a third of all
     rows costs no task more than its share.
@@ -33,7 +33,8 @@ def first_arrivals(rows: DataFrame, keep: list[str], key: str = "event_key", ing
     first = rows.groupBy(event_identity(F.col(key), F.col(row_id)).alias("_event")).agg(
         F.min_by(F.struct(*[F.col(c) for c in keep]), order).alias("_first")
     )
-    return first.select(*[F.col(f"_first.{c}").alias(c) for c in keep])
+    named = [F.col("_event").alias(identity)] if identity else []
+    return first.select(*named, *[F.col(f"_first.{c}").alias(c) for c in keep])
 
 
 def with_event_key(raw: DataFrame) -> DataFrame:

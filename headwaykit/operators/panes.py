@@ -2,17 +2,20 @@
 
 Events are counted into panes: the non-overlapping slices between window borders (the greatest common
 divisor of window length and slide). A late event changes one pane; a window is the sum of its panes
-and only the windows over a changed pane are put together and given out again.
+and only the windows over a changed pane are put together and given out again. An event counts once over
+all batches: a ledger of first arrivals goes from batch to batch beside the panes.
 """
 
 from __future__ import annotations
 
 import math
+import tempfile
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headwaykit.functions.keys import first_arrivals
+from headwaykit.session import checkpoint_dir
 
 
 def pane_seconds(window_s: int, slide_s: int) -> int:
@@ -24,6 +27,15 @@ def event_epoch(vehicle_time: Column, feed_time: Column) -> Column:
     return F.unix_micros(F.coalesce(vehicle_time, feed_time))
 
 
+def _place(window_s: int, slide_s: int) -> list[Column]:
+    pane = pane_seconds(window_s, slide_s)
+    us = event_epoch(F.col("vehicle_timestamp"), F.col("feed_timestamp"))
+    return [
+        (F.floor(us / F.lit(pane * 1_000_000)) * pane).cast("long").alias("pane_start_s"),
+        F.ceil(F.unix_micros("ingestion_timestamp") / F.lit(1_000_000)).cast("long").alias("arrived_s"),
+    ]
+
+
 def pane_counts(events: DataFrame, window_s: int, slide_s: int, group: str = "route_id") -> DataFrame:
     """(group, pane_start_s, arrived_s, n): events by pane and by the moment of their first arrival.
 
@@ -31,25 +43,46 @@ def pane_counts(events: DataFrame, window_s: int, slide_s: int, group: str = "ro
     that came within a limit of full seconds stays within it. Rows without event time or group are out.
     """
     once = first_arrivals(events, [group, "vehicle_timestamp", "feed_timestamp", "ingestion_timestamp"])
-    pane = pane_seconds(window_s, slide_s)
-    us = event_epoch(F.col("vehicle_timestamp"), F.col("feed_timestamp"))
-    return (
-        once.select(
-            group,
-            (F.floor(us / F.lit(pane * 1_000_000)) * pane).cast("long").alias("pane_start_s"),
-            F.ceil(F.unix_micros("ingestion_timestamp") / F.lit(1_000_000)).cast("long").alias("arrived_s"),
-        )
-        .where(F.col(group).isNotNull() & F.col("pane_start_s").isNotNull() & F.col("arrived_s").isNotNull())
-        .groupBy(group, "pane_start_s", "arrived_s")
-        .agg(F.count("*").alias("n"))
-    )
+    placed = once.select(group, *_place(window_s, slide_s)).withColumn("n", F.lit(1).cast("long"))
+    return pane_sums(placed, group)
+
+
+def pane_sums(placed: DataFrame, group: str = "route_id") -> DataFrame:
+    """(group, pane_start_s, arrived_s, n): what rows with a place and a number n, a ledger's say, add up to."""
+    counting = F.col(group).isNotNull() & F.col("pane_start_s").isNotNull() & F.col("arrived_s").isNotNull()
+    return placed.where(counting).groupBy(group, "pane_start_s", "arrived_s").agg(F.sum("n").alias("n"))
+
+
+def new_arrivals(batch: DataFrame, known: DataFrame | None, window_s: int, slide_s: int, group: str = "route_id") -> DataFrame:
+    """A batch's ledger: (_event, ingestion_timestamp, stage_row, group, pane_start_s, arrived_s, n).
+
+    A row with n = 1 for each event that no ledger before (`known`, those of all earlier batches in one)
+    has. An event that is known but came earlier than known, since batches are out of order, is moved: n = 1
+    where it belongs, n = -1 where it was. Events without group or time have their row too, as they are spent.
+    """
+    order, place = ["ingestion_timestamp", "stage_row"], [group, "pane_start_s", "arrived_s"]
+    once = first_arrivals(batch, [group, "vehicle_timestamp", "feed_timestamp", *order], identity="_event")
+    now = once.select("_event", *order, group, *_place(window_s, slide_s))
+    row = F.struct(*order, *place)
+    if known is None:
+        return now.withColumn("n", F.lit(1).cast("long"))
+    before = known.where("n > 0").select("_event", row.alias("_before"))
+    # A moved event has several rows in the ledgers; the earliest holds.
+    both = now.select("_event", row.alias("_now")).join(before, "_event", "left").groupBy("_event").agg(F.min("_now").alias("_now"), F.min("_before").alias("_before"))
+    at = lambda c: F.struct(*[F.col(f"{c}.{o}") for o in order])
+    fresh = both.where(F.col("_before").isNull() | (at("_now") < at("_before")))
+    entry = lambda c, n: F.struct(F.col(c).alias("at"), F.lit(n).cast("long").alias("n"))
+    entries = F.when(F.col("_before").isNull(), F.array(entry("_now", 1))).otherwise(F.array(entry("_now", 1), entry("_before", -1)))
+    return fresh.select("_event", F.explode(entries).alias("_e")).select("_event", "_e.at.*", "_e.n")
 
 
 def compose_windows(panes: DataFrame, window_s: int, slide_s: int, group: str, publish_after_s: int, correct_until_s: int) -> DataFrame:
     """Windows of the given panes: first published count, corrected count, what was too late, last correction.
 
     A pane's rows are spread to the windows that cover it (window_s / pane of them at most) and summed,
-    so any set of changed panes recomposes just the windows over them.
+    so any set of changed panes recomposes just the windows over them. With a column `touched`, as apply_batch
+    gives it, windows over no touched pane are left out: their other panes may be missing. Panes of n = 0 count nothing: a
+    window of such panes only, whose events were moved, is given with zeros.
     """
     pane = pane_seconds(window_s, slide_s)
     first = F.ceil((F.col("pane_start_s") + pane - window_s) / F.lit(slide_s)).cast("long") * slide_s
@@ -57,13 +90,17 @@ def compose_windows(panes: DataFrame, window_s: int, slide_s: int, group: str, p
     spread = panes.withColumn("period_start_s", F.explode(F.sequence(first, last, F.lit(slide_s).cast("long"))))
     late = F.col("arrived_s") - (F.col("period_start_s") + window_s)
     on_time, accepted = late <= publish_after_s, late <= correct_until_s
-    return spread.groupBy(group, "period_start_s").agg(
+    correcting = F.when(accepted & ~on_time & (F.col("n") != 0), F.col("arrived_s"))
+    marked = "touched" in panes.columns
+    windows = spread.groupBy(group, "period_start_s").agg(
         F.sum(F.when(on_time, F.col("n")).otherwise(0)).alias("published_count"),
         F.sum(F.when(accepted, F.col("n")).otherwise(0)).alias("corrected_count"),
         F.sum(F.when(accepted, 0).otherwise(F.col("n"))).alias("too_late_count"),
-        F.count_distinct(F.when(accepted & ~on_time, F.col("arrived_s"))).alias("corrections"),
-        F.max(F.when(accepted & ~on_time, F.col("arrived_s"))).alias("last_correction_s"),
+        F.count_distinct(correcting).alias("corrections"),
+        F.max(correcting).alias("last_correction_s"),
+        *([F.max("touched").alias("_touched")] if marked else []),
     )
+    return windows.where("_touched").drop("_touched") if marked else windows
 
 
 def corrected_periods(
@@ -87,13 +124,55 @@ def corrected_periods(
 def apply_batch(state: DataFrame, batch_panes: DataFrame, window_s: int, slide_s: int, group: str = "route_id") -> tuple[DataFrame, DataFrame]:
     """(new state, panes of the windows to give out again) after a batch's pane counts are added to the state.
 
-    Only panes that a window of a changed pane also covers are read from the state: a semi-join on the
-    changed windows, so the rest of the history is not recomposed.
+    batch_panes must hold no event of an earlier batch again: pane_sums of new_arrivals gives them so.
+    Only panes that a window of a changed pane also covers are given, `touched` where the batch changed
+    them: a join on the changed windows, so the rest of the history is not recomposed.
     """
     reach = window_s - pane_seconds(window_s, slide_s)
     merged = state.unionByName(batch_panes).groupBy(group, "pane_start_s", "arrived_s").agg(F.sum("n").alias("n"))
-    near = batch_panes.select(
-        F.col(group),
-        F.explode(F.sequence(F.col("pane_start_s") - reach, F.col("pane_start_s") + reach, F.lit(pane_seconds(window_s, slide_s)).cast("long"))).alias("pane_start_s"),
-    ).distinct()
-    return merged, merged.join(near, [group, "pane_start_s"], "left_semi")
+    around = F.sequence(F.col("pane_start_s") - reach, F.col("pane_start_s") + reach, F.lit(pane_seconds(window_s, slide_s)).cast("long"))
+    near = (
+        batch_panes.select(group, F.col("pane_start_s").alias("_pane"), F.explode(around).alias("pane_start_s"))
+        .groupBy(group, "pane_start_s")
+        .agg(F.max(F.col("_pane") == F.col("pane_start_s")).alias("touched"))
+    )
+    return merged.where("n != 0"), merged.join(near, [group, "pane_start_s"])
+
+
+def arrival_batches(events: DataFrame, parts: int) -> list[DataFrame]:
+    """The events in at most `parts` batches by ingestion time, of about equal size; one ingestion_timestamp is not split."""
+    at = F.unix_micros("ingestion_timestamp")
+    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    cuts = sorted(set(events.agg(F.percentile_approx(at, shares, 1_000).alias("c")).first()["c"] or [])) if parts > 1 else []
+    number = sum((F.coalesce(at > F.lit(c), F.lit(False)).cast("int") for c in cuts), F.lit(0))
+    return [events.where(number == i) for i in range(len(cuts) + 1)]
+
+
+def corrected_by_batches(
+    batches: list[DataFrame],
+    window_s: int = 900,
+    slide_s: int = 900,
+    group: str = "route_id",
+    publish_after_s: int = 300,
+    correct_until_s: int = 7200,
+) -> DataFrame:
+    """corrected_periods of all batches together, by increments: each window as it was last given out.
+
+    Ledgers, panes and windows of each batch are written to the checkpoint folder. A batch reads the
+    ledgers before it for their keys and, of the panes, those under the windows it changes.
+    """
+    if not batches:
+        raise ValueError("no batches")
+    checkpoint_dir(batches[0].sparkSession, tempfile.gettempdir())
+    known = state = given = None
+    for number, batch in enumerate(batches):
+        ledger = new_arrivals(batch, known, window_s, slide_s, group).checkpoint()
+        sums = pane_sums(ledger, group)
+        state, changed = apply_batch(sums.where("false") if state is None else state, sums, window_s, slide_s, group)
+        windows = compose_windows(changed, window_s, slide_s, group, publish_after_s, correct_until_s).withColumn("_batch", F.lit(number)).checkpoint()
+        state = state.checkpoint()
+        known = ledger if known is None else known.unionByName(ledger)
+        given = windows if given is None else given.unionByName(windows)
+    columns = [c for c in given.columns if c not in (group, "period_start_s", "_batch")]
+    last = given.groupBy(group, "period_start_s").agg(F.max_by(F.struct(*columns), "_batch").alias("_last"))
+    return last.select(group, "period_start_s", "_last.*").where("corrected_count + too_late_count > 0")

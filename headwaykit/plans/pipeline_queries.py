@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headwaykit.operators.dwell import stops_and_trips
-from headwaykit.operators.panes import corrected_periods
+from headwaykit.operators.panes import arrival_batches, corrected_by_batches, corrected_periods
 from headwaykit.operators.timestamps import raw_instants, schedule_instants
 from headwaykit.sources.tables import table
 
@@ -37,6 +37,14 @@ def p2_corrected_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def p2_increments(spark: SparkSession, folder: str) -> DataFrame:
+    """p2_corrected_counts by increments: eight batches in order of arrival, keys of earlier ones included."""
+    batches = arrival_batches(table(spark, folder, "temp_vehicle_events_stage"), 8)
+    return corrected_by_batches(batches, window_s=1800, slide_s=900).select(
+        "route_id", "period_start_s", "published_count", "corrected_count", "too_late_count"
+    )
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     raw = raw_instants(table(spark, folder, "temp_vehicle_events_stage_raw"), table(spark, folder, "feed_sources"))
     features = schedule_instants(table(spark, folder, "realtime_stop_features"))
@@ -58,6 +66,7 @@ QUERIES = {
     "p1_stops_and_trips": p1_stops_and_trips,
     "p2_found": p2_found,
     "p2_corrected_counts": p2_corrected_counts,
+    "p2_increments": p2_increments,
     "p5_found": p5_found,
 }
 
@@ -81,3 +90,4 @@ select route_id, period_start_s,
   count(*) filter (where late > 7200000000) as too_late_count
 from spread group by all""",
 }
+SQL["p2_increments"] = SQL["p2_corrected_counts"]

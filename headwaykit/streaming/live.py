@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headwaykit.functions.keys import canonical_key
-from headwaykit.operators.upsert import insert_only, upsert
+from headwaykit.operators.panes import apply_batch, compose_windows, new_arrivals, pane_sums
+from headwaykit.operators.upsert import _exists, insert_only, upsert
 
 
 def once_within(events: DataFrame, delay: str = "2 hours") -> DataFrame:
@@ -19,11 +20,47 @@ def once_within(events: DataFrame, delay: str = "2 hours") -> DataFrame:
 
 
 def pane_stream(events: DataFrame, group: str = "route_id", period: str = "15 minutes", lateness: str = "2 hours") -> DataFrame:
-    """Counts per group and period of event time, corrected by late events up to `lateness`, later ones ignored."""
-    timed = events.where(F.col(group).isNotNull()).withColumn("event_time", F.coalesce("vehicle_timestamp", "feed_timestamp"))
+    """Counts per group and period of event time, corrected by late events up to `lateness`, later ones ignored.
+
+    Each event counts once: keys are kept for good, since a copy may come at any time; events without
+    key count each. Spark's own window aggregate, late by the watermark; of copies in one micro-batch any
+    may be the one that counts. pane_updates counts by first arrival and by panes.
+    """
+    alone = F.encode(F.concat(F.lit("row:"), F.expr("uuid()")), "UTF-8")
+    once = events.withColumn("_key", F.coalesce(canonical_key(F.col("event_key")), alone)).dropDuplicates(["_key"])
+    timed = once.where(F.col(group).isNotNull()).withColumn("event_time", F.coalesce("vehicle_timestamp", "feed_timestamp"))
     return timed.withWatermark("event_time", lateness).groupBy(group, F.window("event_time", period)).agg(F.count("*").alias("n"))
 
 
+def pane_updates(
+    events: DataFrame,
+    path: str,
+    give: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    window_s: int = 900,
+    slide_s: int = 900,
+    group: str = "route_id",
+    publish_after_s: int = 300,
+    correct_until_s: int = 7200,
+) -> StreamingQuery:
+    """What corrected_periods gives, on a stream: hands the windows that a micro-batch changes to `give`.
+
+    The ledgers of first arrivals are stored in `path` by micro-batch; a batch that is run again reads those
+    before it only and writes its own anew. The events need stage_row. A window with zeros is withdrawn.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark, own = batch.sparkSession, f"{path}/batch={number}"
+        known = spark.read.parquet(path).where(F.col("batch") < number).drop("batch") if _exists(spark, path) else None
+        new_arrivals(batch, known, window_s, slide_s, group).write.mode("overwrite").parquet(own)
+        sums = pane_sums(spark.read.parquet(own), group)
+        state = sums.where("false") if known is None else pane_sums(known, group)
+        _, changed = apply_batch(state, sums, window_s, slide_s, group)
+        give(compose_windows(changed, window_s, slide_s, group, publish_after_s, correct_until_s), number)
+
+    return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def session_stream(snapshots: DataFrame, ts: str, by: str, gap_s: int = 90) -> DataFrame:
     """Coverage windows per collector (`by`) on a stream: a session closes once the gap is past."""
     return snapshots.withWatermark(ts, f"{gap_s} seconds").groupBy(by, F.session_window(ts, f"{gap_s} seconds")).agg(F.count("*").alias("snapshot_count"))

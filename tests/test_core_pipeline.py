@@ -12,7 +12,7 @@ from headwaykit.functions.geo import grid_cells, haversine
 from headwaykit.functions.keys import canonical_key, first_arrivals, with_event_key
 from headwaykit.functions.zones import readings
 from headwaykit.operators.dwell import stops_and_trips, stops_and_trips_of_rows
-from headwaykit.operators.panes import apply_batch, compose_windows, corrected_periods, pane_counts
+from headwaykit.operators.panes import apply_batch, arrival_batches, compose_windows, corrected_by_batches, corrected_periods, pane_counts
 from headwaykit.operators.timestamps import to_instants
 
 PINGS = "stage_row long, event_key string, ingestion_timestamp timestamp, vehicle_id string, vehicle_timestamp timestamp, latitude double, longitude double, route_id string, feed_timestamp timestamp"
@@ -177,6 +177,18 @@ def test_panes_batch_by_batch_equal_all_at_once(spark):
     assert got == sorted(map(tuple, corrected_periods(frame(spark, rows), 1800, 900).collect()), key=str)
 
 
+def test_keys_sent_again_in_later_batches_count_once(spark):
+    rows = arrivals(spark, 120)
+    late = [dict(r, stage_row=1000 + i, event_key=r["event_key"].upper(), ingestion_timestamp=r["ingestion_timestamp"] + timedelta(minutes=40)) for i, r in enumerate(rows[:60])]
+    whole = frame(spark, rows + late)
+    want = sorted(map(tuple, corrected_periods(whole, 1800, 900).collect()), key=str)
+    parts = arrival_batches(whole, 4)
+    assert sum(p.count() for p in parts) == len(rows) + len(late)
+    assert sorted(map(tuple, corrected_by_batches(parts, 1800, 900).collect()), key=str) == want
+    assert sorted(map(tuple, corrected_by_batches(parts[::-1], 1800, 900).collect()), key=str) == want  # out of order
+    assert corrected_by_batches(arrival_batches(whole.where("false"), 4)).count() == 0
+
+
 CASES = [
     ("2026-03-01T10:00:00-05:00", "2026-03-01 15:00:00"), ("2026-03-01 10:00:00", "2026-03-01 15:00:00"), ('"2026-03-01 10:00:00.1239"', "2026-03-01 15:00:00.123900"),
     ("20260301100000", "2026-03-01 15:00:00"), ("20260301T150000Z", "2026-03-01 15:00:00"), ("1772377200", "2026-03-01 15:00:00"), ("1772377200.5", "2026-03-01 15:00:00.500000"),

@@ -13,7 +13,7 @@ from headwaykit.operators.upsert import insert_only, upsert
 from headwaykit.sources.history_files import ask, export_sorted, file_facts, in_dates, scan_partitioned, scan_recursive, write_partitioned
 from headwaykit.sources.schedule_feeds import feed_files, feed_table, new_feeds, register_feeds, stop_dimension
 from headwaykit.sources.snapshots import candidate_files, decode_snapshots, snapshot_files
-from headwaykit.streaming.live import emit, land_events, once_within, pane_stream, recompute_scopes, session_stream, to_memory
+from headwaykit.streaming.live import emit, land_events, once_within, pane_stream, pane_updates, recompute_scopes, session_stream, to_memory
 
 UTC = timezone.utc
 
@@ -180,6 +180,20 @@ def test_panes_are_corrected_by_late_events(spark, tmp_path):
     assert changed() == set()
 
 
+def test_panes_of_a_stream_count_an_event_once(spark, tmp_path):
+    path, given, kept = tmp_path / "in", {}, {}
+    write = lambda batch, _: given.update({r.window.start.minute: r.n for r in batch.collect()})
+    keep = lambda windows, _: kept.update({r.period_start_s % 3600 // 60: (r.published_count, r.corrected_count, r.corrections) for r in windows.collect()})
+    again = lambda late: (event(1, 1)[0].upper(), *event(1, 1, late)[1:])
+    for number, rows in enumerate(([event(1, 1), event(2, 2)], [again(30), event(3, 20)], [again(60), event(4, 3, 25), (None, *event(5, 4)[1:])])):
+        write_events(spark, path, number, rows)
+        emit(pane_stream(read_stream(spark, path)), write, str(tmp_path / "c1")).awaitTermination()
+        numbered = read_stream(spark, path).withColumn("stage_row", F.xxhash64("event_key", "ingestion_timestamp"))
+        pane_updates(numbered, str(tmp_path / "ledger"), keep, str(tmp_path / "c2")).awaitTermination()
+    assert given == {0: 4, 15: 1}
+    assert kept == {0: (3, 4, 1), 15: (1, 1, 0)}
+
+
 def test_stream_dedup_and_sessions(spark, tmp_path):
     path = tmp_path / "in"
     write_events(spark, path, 0, [event(1, 1), event(2, 2)])
