@@ -129,6 +129,12 @@ def mix(
     return known.unionByName(other)
 
 
+def targeted_size(documents: DataFrame, targets: DataFrame, size: str) -> int:
+    """Size once over of all documents whose source has a target: the total that asks for the whole corpus."""
+    wanted = targets.where("source is not null").select("source").distinct()
+    return documents.join(wanted, "source", "left_semi").agg(F.coalesce(F.sum(size), F.lit(0)).cast("long")).first()[0]
+
+
 def counted(documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id, source, size in tokens; written to the checkpoint folder, since the mix reads it several times."""
     checkpoint_dir(documents.sparkSession, tempfile.gettempdir())

@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headwaykit.llm.mixing import counted, mix
+from headwaykit.llm.mixing import counted, mix, targeted_size
 from headwaykit.llm.spans import shared_amounts, shared_spans, sharing_pairs, text_classes
 from headwaykit.llm.tokens import encode_corpus
 from headwaykit.session import checkpoint_dir
@@ -21,8 +21,9 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p9_mix(spark: SparkSession, folder: str) -> DataFrame:
-    """Uses of each document, where its uses stand in the order, and its source's shares."""
-    return mix(counted(table(spark, folder, "documents")), table(spark, folder, "mix_targets"), "size").withColumnRenamed("size", "n_tokens")
+    """Uses of each document, where its uses stand in the order, and its source's shares; as many tokens in all as the targeted documents have."""
+    documents, targets = counted(table(spark, folder, "documents")), table(spark, folder, "mix_targets")
+    return mix(documents, targets, "size", targeted_size(documents, targets, "size")).withColumnRenamed("size", "n_tokens")
 
 
 def p9_shares(spark: SparkSession, folder: str) -> DataFrame:

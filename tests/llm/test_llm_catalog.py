@@ -21,3 +21,11 @@ def test_query_equals_its_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.SQL)))
 def test_query_runs(spark, name):
     assert catalog.QUERIES[name](spark, FOLDER).count() > 0
+
+
+def test_mix_is_as_large_as_the_targeted_documents(spark):
+    shares = catalog.QUERIES["p9_shares"](spark, FOLDER).collect()
+    once, used = sum(r.tokens_once for r in shares), sum(r.tokens_used for r in shares)
+    assert abs(used - once) < 0.05 * once  # each source within one document of its amount
+    short = [r for r in shares if r.tokens_once and r.actual_share < r.target_share - 0.02]
+    assert short and all(r.tokens_used == r.max_repeats * r.tokens_once for r in short)
