@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from oracle import FOLDER, connect, same  # noqa: E402
 
-from headwaykit.llm import catalog  # noqa: E402
+from headwaykit.llm import catalog, tokens  # noqa: E402
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
 
@@ -29,3 +29,14 @@ def test_mix_is_as_large_as_the_targeted_documents(spark):
     assert abs(used - once) < 0.05 * once  # each source within one document of its amount
     short = [r for r in shares if r.tokens_once and r.actual_share < r.target_share - 0.02]
     assert short and all(r.tokens_used == r.max_repeats * r.tokens_once for r in short)
+
+
+def test_long_documents_are_cut_and_have_the_tokenizers_ids(spark, monkeypatch):
+    sizes, encode = [], tokens.encode_corpus
+    monkeypatch.setattr("headwaykit.llm.text_queries.encode_corpus", lambda *a, **k: sizes.append(k.get("piece_chars", 8192)) or encode(*a, **k))
+    got = {r.doc_id: list(r.ids) for r in catalog.QUERIES["p8_ids"](spark, FOLDER).collect()}
+    texts = {r.doc_id: r.t or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").selectExpr("doc_id", "make_valid_utf8(text) t").collect()}
+    with open(tokens.vocabulary_file(), "rb") as f:
+        enc = tokens.encoder(f.read())
+    assert got == {i: enc.encode_ordinary(t) for i, t in texts.items()}
+    assert sum(len(t) > sizes[0] for t in texts.values()) > 0
