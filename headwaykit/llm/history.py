@@ -95,7 +95,8 @@ def known_already(
     """stage_row of the records that repeat, exactly or nearly, something before them.
 
     Before them: the registry's keys, the points of known_points (earlier batches), and the records that
-    come first by (ingestion_timestamp, stage_row). stage_row must be unique. A null key repeats no key;
+    come first by (ingestion_timestamp, stage_row). stage_row names a record: the same row given again is the same
+    record, so it changes nothing. A null key repeats no key;
     a record that lacks vehicle, trip, time or position is near nothing. Earlier records count whether or
     not they were repeats. Empty tables give no rows; other columns are ignored.
     """
@@ -108,7 +109,7 @@ def known_already(
     whole = F.col("vehicle_id").isNotNull() & F.col("trip_id").isNotNull() & F.col("vehicle_timestamp").isNotNull() & F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & ~F.isnan("latitude") & ~F.isnan("longitude")
     base = records.select("stage_row", F.when(whole, 8).otherwise(0).alias("_whole"), F.when(F.col("event_key").isNull(), 16).otherwise(0).alias("_keyless"))
     marks = base.select("stage_row", (F.col("_whole") + F.col("_keyless")).alias("point")).unionByName(alone).unionByName(near).unionByName(fresh)
-    bits = marks.groupBy("stage_row").agg(F.sum("point").alias("bits"))
+    bits = marks.groupBy("stage_row").agg(F.bit_or("point").alias("bits"))
     bit = lambda n: F.col("bits").bitwiseAND(n) != 0
     same_key = ~bit(4) & ~bit(16)
     same_point = bit(8) & (~bit(1) | bit(2))

@@ -11,6 +11,7 @@ only if every two neighbours are the encoding of theirs, so the result is then e
 from __future__ import annotations
 
 import base64
+import hashlib
 import unicodedata
 from collections.abc import Iterator
 from functools import partial
@@ -32,8 +33,6 @@ def vocabulary_file() -> str:
 
 def encoder(ranks: bytes):
     """The tokenizer of a rank file's content, made once per worker process."""
-    import hashlib
-
     import tiktoken
 
     name = "ranks-" + hashlib.sha256(ranks).hexdigest()[:16]
@@ -150,25 +149,33 @@ def _cut(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatc
         for doc, text in zip(batch.column(0), batch.column(1).to_pylist()):
             rows = [(n, inner, piece) for n, (inner, piece) in enumerate(pieces(text, size))]
             no, inner, piece = map(list, zip(*rows))
+            digest = hashlib.sha256(text.encode()).digest()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([doc.as_py()] * len(rows), type=batch.schema.field(0).type), pa.array(no, pa.int32()), pa.array(inner, pa.bool_()), pa.array(piece, pa.string())],
-                names=["id", "no", "inner", "text"],
+                [pa.array([doc.as_py()] * len(rows), type=batch.schema.field(0).type), pa.array([digest] * len(rows), pa.binary()), pa.array(no, pa.int32()), pa.array(inner, pa.bool_()), pa.array(piece, pa.string())],
+                names=["id", "digest", "no", "inner", "text"],
             )
 
 
 def _encode_pieces(batches: Iterator[pa.RecordBatch], ranks) -> Iterator[pa.RecordBatch]:
     enc = encoder(ranks.value)
     for batch in batches:
-        pairs = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+        pairs = zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())
         ids = [enc._encode_single_piece(t.encode()) if inner else enc.encode_ordinary(t) for inner, t in pairs]
-        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(ids, type=pa.list_(pa.int32()))], names=["id", "no", "inner", "ids"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(ids, type=pa.list_(pa.int32()))], names=["id", "digest", "no", "inner", "ids"])
 
 
 def _assemble(batches: Iterator[pa.RecordBatch], ranks, counts: bool) -> Iterator[pa.RecordBatch]:
-    """Pieces come sorted by document and number; a document's ids are one row in the end, so they fit."""
-    enc, kind_of, open_id, out, run, begun = encoder(ranks.value), None, None, [], [], False
+    """Pieces come sorted by document, text and number; a document's ids are one row in the end, so they fit.
+
+    A text given k times under one id has each of its pieces k times in a row: one is taken, k rows leave.
+    """
+    enc, kind_of, open_text, last, copies, out, run = encoder(ranks.value), None, None, -1, 0, [], []
     done: list[tuple] = []
 
+    def close() -> None:
+        if copies:
+            done.extend([(open_text[0], out + concatenate(run, enc))] * copies)
+
     def flush() -> pa.RecordBatch:
         ids = _ids_batch(pa.array([d for d, _ in done], type=kind_of), [i for _, i in done], counts)
         done.clear()
@@ -176,21 +183,24 @@ def _assemble(batches: Iterator[pa.RecordBatch], ranks, counts: bool) -> Iterato
 
     for batch in batches:
         kind_of = batch.schema.field(0).type
-        for doc, inner, ids in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            if begun and doc != open_id:
-                done.append((open_id, out + concatenate(run, enc)))
-                out, run = [], []
+        for doc, digest, no, inner, ids in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            if (doc, digest) != open_text:
+                close()
+                open_text, last, copies, out, run = (doc, digest), -1, 0, [], []
                 if sum(len(i) for _, i in done) > 500_000:
                     yield flush()
-            open_id, begun = doc, True
+            copies += no == 0
+            if no == last:
+                continue
+            last = no
             if inner:
                 run.append(ids)
             else:
                 out += concatenate(run, enc)
                 run = []
                 out += ids
-    if begun:
-        done.append((open_id, out + concatenate(run, enc)))
+    close()
+    if done:
         yield flush()
 
 
@@ -198,8 +208,8 @@ def encode_corpus(documents: DataFrame, id_column: str = "doc_id", text: str = "
     """(id_column, ids) of every row; with counts ids is their number only, as a long.
 
     An empty text and a null one have no ids. Bytes that are not UTF-8 count as U+FFFD. Special tokens'
-    strings are ordinary text. Ids must be unique if texts longer than piece_chars occur; other columns
-    are ignored. The vocabulary (under 1 MB) is read on the driver and sent to the workers.
+    strings are ordinary text. Rows of one id give a row each, whatever their length; other columns are
+    ignored. The vocabulary (under 1 MB) is read on the driver and sent to the workers.
     """
     spark = documents.sparkSession
     with open(vocabulary or vocabulary_file(), "rb") as f:
@@ -209,7 +219,7 @@ def encode_corpus(documents: DataFrame, id_column: str = "doc_id", text: str = "
     schema = f"id {key}, ids {'bigint' if counts else 'array<int>'}"
     is_long = F.coalesce(F.char_length("text"), F.lit(0)) > piece_chars
     short = picked.where(~is_long).mapInArrow(partial(_encode, ranks=ranks, counts=counts), schema)
-    parts = picked.where(is_long).mapInArrow(partial(_cut, size=piece_chars), f"id {key}, no int, inner boolean, text string")
-    encoded = parts.repartition("id", "no").mapInArrow(partial(_encode_pieces, ranks=ranks), f"id {key}, no int, inner boolean, ids array<int>")
-    long = encoded.repartition("id").sortWithinPartitions("id", "no").mapInArrow(partial(_assemble, ranks=ranks, counts=counts), schema)
+    parts = picked.where(is_long).mapInArrow(partial(_cut, size=piece_chars), f"id {key}, digest binary, no int, inner boolean, text string")
+    encoded = parts.repartition("id", "digest", "no").mapInArrow(partial(_encode_pieces, ranks=ranks), f"id {key}, digest binary, no int, inner boolean, ids array<int>")
+    long = encoded.repartition("id").sortWithinPartitions("id", "digest", "no").mapInArrow(partial(_assemble, ranks=ranks, counts=counts), schema)
     return short.unionByName(long).withColumnRenamed("id", id_column)

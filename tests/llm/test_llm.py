@@ -206,6 +206,13 @@ def test_history_of_copies_and_empty_tables(spark):
     assert known_already(spark.createDataFrame([one], STAGE), spark.createDataFrame([], "event_key string")).count() == 0
 
 
+def test_history_of_records_given_twice(spark):
+    rows, registry = stage(), spark.createDataFrame([(f"{k:064x}",) for k in range(20)], "event_key string")
+    once = {r.stage_row for r in known_already(spark.createDataFrame(rows, STAGE), registry).collect()}
+    twice = known_already(spark.createDataFrame(rows + rows[::2], STAGE), registry).collect()
+    assert len(twice) == len(once) and {r.stage_row for r in twice} == once
+
+
 # --- tokens
 
 
@@ -222,6 +229,14 @@ def test_corpus_equals_the_tokenizer(spark, enc):
     assert encode_corpus(df.where("false")).count() == 0
 
 
+def test_rows_of_one_id_give_a_row_each(spark, enc):
+    texts = ["some words " * 30, "x" * 400, "x" * 400, "other words " * 30, "short", "short", None]
+    df = spark.createDataFrame([(n // 4, t) for n, t in enumerate(texts)] + [(None, "9" * 300)] * 2, "doc_id long, text string")
+    want = sorted([(str(n // 4), enc.encode_ordinary(t or "")) for n, t in enumerate(texts)] + [("None", enc.encode_ordinary("9" * 300))] * 2)
+    for size in (64, 8192):
+        assert sorted((str(r.doc_id), list(r.ids)) for r in encode_corpus(df, piece_chars=size).collect()) == want
+
+
 def test_tree_concatenation_on_random_texts(enc):
     random.seed(7)
     alphabet = ["a", "b", "é", "中", "1", "9", " ", "\n", "'", "s", "!", "?", "　", "Z", "_", "́", "😀", "\x1c"]
