@@ -1,25 +1,27 @@
 """Texts that name a time, in whatever format, precision and zone, to one instant.
 
-Each text is reduced to its mask (digits, letters and other characters by class). A mask is mapped
-to a parser once per worker; a parser reads all texts of its mask in a batch at once, as numpy arrays
-of field values, and wall clocks become instants by the zone's transition table. Masks without a
-parser, and values that name no real time, give null.
+Each text is reduced to its mask: digits become 9, every other character stays as it is. What the shapes
+below accept does not depend on which digits a text has, so a mask tells for all its texts alike whether
+they are of a shape, and where each field stands. A mask is mapped to a parser once per worker; a parser
+reads its texts as slices of one byte table, and wall clocks become instants by the transition tables of
+one version of the zone data, sent along by the driver. Masks without a parser, and values that name no
+real time, give null.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headwaykit.functions.zones import readings
+from headwaykit.functions.zones import Zones, installed_zones
 
 #: Zone abbreviations in seconds ahead of UTC.
 ABBREVIATIONS = {
@@ -45,107 +47,156 @@ SHAPES = [
     ("number", r"(?P<n>\d{1,19})(?:[.,](?P<f>\d+))?"),
     ("clock", rf"{CLOCK}{HALF}"),
 ]
-COMPILED = [(name, re.compile(pattern)) for name, pattern in SHAPES]
-
-RUNS = re.compile(r"\s+")
-
-
-def normalised(text: str) -> str:
-    """Without outer blanks and quotes, inner blanks as one space, compatibility characters resolved."""
-    if not text.isascii():
-        text = "".join(c for c in unicodedata.normalize("NFKC", text) if unicodedata.category(c) != "Cf")
-    return RUNS.sub(" ", text.strip().strip("\"'").strip())
-
-
-def masked(texts: pd.Series) -> pd.Series:
-    """Character-class masks: 9 for a digit, a for a letter, any other character as it is."""
-    return texts.str.translate(MASK)
-
-
-MASK = {**{c: "9" for c in range(48, 58)}, **{c: "a" for c in [*range(65, 91), *range(97, 123)]}}
-
-
-class Clocks:
-    """What a parser reads from the texts of one mask: wall clocks or instants, in microseconds, and what it could not read."""
-
-    def __init__(self, local: np.ndarray, ok: np.ndarray, offset: np.ndarray | None = None, iana: np.ndarray | None = None, kind: str = "wall") -> None:
-        self.local, self.ok, self.offset, self.iana, self.kind = local, ok, offset, iana, kind
-
-
-def _ints(fields: pd.DataFrame, name: str, default: int) -> np.ndarray:
-    if name not in fields:
-        return np.full(len(fields), default, dtype=np.int64)
-    return pd.to_numeric(fields[name], errors="coerce").fillna(default).to_numpy(dtype=np.int64)
-
-
-def _fraction(fields: pd.DataFrame) -> np.ndarray:
-    if "f" not in fields:
-        return np.zeros(len(fields), dtype=np.int64)
-    return fields["f"].fillna("").str.slice(0, 6).str.pad(6, "right", "0").astype("int64").to_numpy()
-
-
-def _days(year: np.ndarray, month: np.ndarray, day: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Days since 1970 and whether the date exists."""
-    ok = (month >= 1) & (month <= 12) & (year >= 1902) & (year <= 2099) & (day >= 1)
-    m, y = np.where(ok, month, 1), np.where(ok, year, 1970)
-    start = (y - 1970).astype("datetime64[Y]").astype("datetime64[M]") + (m - 1)
-    first = start.astype("datetime64[D]")
-    length = ((start + 1).astype("datetime64[D]") - first).astype(np.int64)
-    return first.astype(np.int64) + day - 1, ok & (day <= length)
-
-
-def parse_mask(name: str, pattern: re.Pattern, texts: pd.Series, day_first: np.ndarray, dated: bool) -> Clocks:
-    """Reads all texts of one mask. dated: clocks and counts of seconds have a service date to belong to."""
-    fields = texts.str.extract(f"^(?:{pattern.pattern})$")
-    read = fields.notna().any(axis=1).to_numpy()
-    size = len(texts)
-    if name in ("number", "epoch"):
-        digits = fields["n"].fillna("0")
-        n, width = pd.to_numeric(digits, errors="coerce").fillna(0).to_numpy(dtype=np.float64), digits.str.len().to_numpy()
-        exact = np.array([int(x) for x in digits], dtype=object)
-        if name == "epoch":
-            local = np.array([x * 1000 for x in exact], dtype=np.int64)
-            return Clocks(local, read & (n != 0), kind="instant")
-        scale = np.select([width <= 10, width == 13, width == 16, width == 19], [1_000_000, 1_000, 1, -1_000], 0)
-        local = np.array([0 if k == 0 else x * k if k > 0 else x // -k for x, k in zip(exact, scale.tolist())], dtype=np.int64)
-        local = local + np.where(scale == 1_000_000, _fraction(fields), 0)
-        if dated and width.max(initial=0) <= 6:
-            return Clocks(local, read & ~((width == 1) & (n == 0)), kind="seconds")
-        return Clocks(local, read & (n != 0) & (scale != 0) & (width >= 9), kind="instant")
-    hour, minute, second = _ints(fields, "H", 0), _ints(fields, "M", 0), _ints(fields, "S", 0)
-    ok = read & (minute < 60) & (second < 60)
-    kind = "wall"
-    if "ap" in fields:
-        half = fields["ap"].str.lower()
-        given = half.notna().to_numpy()
-        ok &= ~given | (hour >= 1) & (hour <= 12)
-        hour = np.where(given, hour % 12 + np.where((half == "p").to_numpy(), 12, 0), hour)
-    else:
-        given = np.zeros(size, dtype=bool)
-    clock = ((hour * 60 + minute) * 60 + second) * 1_000_000 + _fraction(fields)
-    if name == "clock":
-        return Clocks(clock, ok & dated, kind="half clock" if given.any() else "seconds")
-    if "a" in fields:
-        a, b = _ints(fields, "a", 0), _ints(fields, "b", 0)
-        month, day = np.where(day_first, b, a), np.where(day_first, a, b)
-    else:
-        month, day = _ints(fields, "m", 0), _ints(fields, "d", 0)
-        if "mon" in fields:
-            month = fields["mon"].str.slice(0, 3).str.lower().map(MONTHS).fillna(0).to_numpy(dtype=np.int64)
-    days, real = _days(_ints(fields, "Y", 0), month, day)
-    ok &= real & (hour < 24)
-    offset = np.full(size, np.nan)
-    if "off" in fields:
-        sign = np.where(fields["off"].str.startswith("-").eq(True), -1, 1)
-        digits = fields["off"].str.slice(1).str.replace(":", "", regex=False).str.pad(4, "right", "0")
-        value = pd.to_numeric(digits, errors="coerce").to_numpy(dtype=np.float64)
-        offset = sign * (np.floor(value / 100) * 3600 + value % 100 * 60)
-    if "abbr" in fields:
-        known = fields["abbr"].str.upper().map(ABBREVIATIONS).to_numpy(dtype=np.float64)
-        ok &= fields["abbr"].isna().to_numpy() | ~np.isnan(known)
-        offset = np.where(np.isnan(offset), known, offset)
-    iana = fields["iana"].to_numpy(dtype=object) if "iana" in fields else None
-    return Clocks(days * 86_400_000_000 + clock, ok, offset, iana, kind)
+COMPILED = [(name, re.compile(pattern, re.ASCII)) for name, pattern in SHAPES]
+
+#: Texts of up to so many bytes share a byte table; longer ones, which few shapes allow, have one each.
+TABLE_BYTES = 64
+DAY_US = 86_400_000_000
+
+
+def plain(text: str) -> str:
+    """Compatibility characters resolved, format characters dropped, blanks of any kind as spaces, digits of any script as 0 to 9."""
+    kept = (c for c in unicodedata.normalize("NFKC", text) if unicodedata.category(c) != "Cf")
+    return "".join(" " if c.isspace() else str(unicodedata.decimal(c, c)) for c in kept)
+
+
+def cleaned(texts: pa.Array) -> pa.Array:
+    """Without outer blanks and quotes, inner blanks as one space; a null as an empty text."""
+    texts = pc.fill_null(texts, "")
+    odd = np.flatnonzero(~pc.string_is_ascii(texts).to_numpy(zero_copy_only=False))
+    if len(odd):
+        mask = np.zeros(len(texts), dtype=bool)
+        mask[odd] = True
+        texts = pc.replace_with_mask(texts, pa.array(mask), pa.array([plain(texts[i].as_py()) for i in odd.tolist()], type=texts.type))
+    flat = pc.replace_substring_regex(texts, r"[\t-\r\x1c-\x20]+", " ")
+    return pc.utf8_trim(pc.utf8_trim(pc.utf8_trim(flat, " "), "\"'"), " ")
+
+
+def byte_tables(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, table): the texts' bytes, padded with zeros, in one table for short texts and one for each longer one; none for empty ones."""
+    texts = texts.cast(pa.large_string())
+    if not len(texts):
+        return
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    content = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
+    starts, lengths = ends[:-1], np.diff(ends)
+    short = np.flatnonzero((lengths > 0) & (lengths <= TABLE_BYTES))
+    if len(short):
+        width = int(lengths[short].max())
+        column = np.arange(width)
+        inside = column < lengths[short, None]
+        table = np.zeros((len(short), width), dtype=np.uint8)
+        table[inside] = content[(starts[short, None] + column)[inside]]
+        yield short, table
+    for i in np.flatnonzero(lengths > TABLE_BYTES).tolist():
+        yield np.array([i]), content[starts[i] : starts[i] + lengths[i]].reshape(1, -1)
+
+
+def masked(table: np.ndarray) -> np.ndarray:
+    """The masks of the rows of a byte table, as byte strings."""
+    masks = np.where((table >= 48) & (table <= 57), np.uint8(57), table)
+    return np.ascontiguousarray(masks).view(f"S{table.shape[1]}").ravel()
+
+
+class Parser:
+    """Reads all texts of one mask: where its fields stand, and what its letters say."""
+
+    def __init__(self, name: str, match: re.Match, mask: str) -> None:
+        self.name = name
+        self.at = {group: match.span(group) for group, value in match.groupdict().items() if value is not None}
+        word = lambda group: mask[slice(*self.at[group])] if group in self.at else None
+        self.month = MONTHS.get((word("mon") or "")[:3].lower(), 0)
+        self.half = (word("ap") or "").lower()
+        abbreviation = word("abbr")
+        self.offset = None if abbreviation is None else ABBREVIATIONS.get(abbreviation.upper())
+        self.known = abbreviation is None or self.offset is not None
+        self.minus = (word("off") or word("n") or "").startswith("-")
+        iana = word("iana")
+        #: The zone's name, or None where it has digits and must be read from each text.
+        self.iana = iana if iana is not None and "9" not in iana else None
+
+    def number(self, table: np.ndarray, group: str, skip: int = 0, most: int = 19) -> np.ndarray:
+        """A field of digits as integers: its first `most` after `skip` characters."""
+        if group not in self.at:
+            return np.zeros(len(table), dtype=np.int64)
+        i, j = self.at[group]
+        i += skip
+        j = min(j, i + most)
+        powers = np.array([10**k for k in range(j - i - 1, -1, -1)], dtype=np.uint64)
+        return ((table[:, i:j].astype(np.uint64) - np.uint64(48)) * powers).sum(axis=1, dtype=np.uint64)
+
+    def integer(self, table: np.ndarray, group: str, skip: int = 0, most: int = 18) -> np.ndarray:
+        return self.number(table, group, skip, most).astype(np.int64)
+
+    def fraction(self, table: np.ndarray) -> np.ndarray:
+        """Microseconds of the digits behind the point."""
+        if "f" not in self.at:
+            return np.zeros(len(table), dtype=np.int64)
+        digits = min(6, self.at["f"][1] - self.at["f"][0])
+        return self.integer(table, "f", most=6) * 10 ** (6 - digits)
+
+    def days(self, table: np.ndarray, day_first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Days since 1970 and whether the date exists (years 1 to 9999)."""
+        year = self.integer(table, "Y")
+        if "a" in self.at:
+            a, b = self.integer(table, "a"), self.integer(table, "b")
+            month, day = np.where(day_first, b, a), np.where(day_first, a, b)
+        else:
+            day = self.integer(table, "d")
+            month = self.integer(table, "m") if "m" in self.at else np.full(len(table), self.month)
+        ok = (month >= 1) & (month <= 12) & (year >= 1) & (day >= 1)
+        m, y = np.where(ok, month, 1), np.where(ok, year, 1970)
+        start = (y - 1970).astype("datetime64[Y]").astype("datetime64[M]") + (m - 1)
+        first = start.astype("datetime64[D]")
+        length = ((start + 1).astype("datetime64[D]") - first).astype(np.int64)
+        return first.astype(np.int64) + day - 1, ok & (day <= length)
+
+    def clock(self, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Microseconds since midnight, and whether the clock can be."""
+        hour, minute, second = self.integer(table, "H"), self.integer(table, "M"), self.integer(table, "S")
+        ok = (minute < 60) & (second < 60)
+        if self.half:
+            ok &= (hour >= 1) & (hour <= 12)
+            hour = hour % 12 + (12 if self.half == "p" else 0)
+        return ((hour * 60 + minute) * 60 + second) * 1_000_000 + self.fraction(table), ok & ((hour < 24) | (self.name == "clock"))
+
+    def epoch(self, table: np.ndarray, dated: bool) -> tuple[np.ndarray, np.ndarray, bool]:
+        """(microseconds, ok, of the day): counts of seconds or parts of them since 1970 or, where there is a service date, since midnight."""
+        i, j = self.at["n"]
+        width = j - i - self.minus
+        if self.name == "epoch":
+            n = self.integer(table, "n", skip=self.minus)
+            far = n > 9_000_000_000_000_000  # beyond what microseconds hold
+            return np.where(far, 0, n) * (-1000 if self.minus else 1000), (n != 0) & ~far, False
+        n = self.number(table, "n")
+        if width <= 10:
+            local = n.astype(np.int64) * 1_000_000 + self.fraction(table)
+            if dated and width <= 6:
+                return local, (n != 0) | (width > 1), True
+            return local, (n != 0) & (width >= 9), False
+        scale = {13: 1_000, 16: 1}.get(width, 0)
+        if width == 19:
+            return (n // np.uint64(1000)).astype(np.int64), n != 0, False
+        return n.astype(np.int64) * scale if scale else np.zeros(len(n), dtype=np.int64), (n != 0) & bool(scale), False
+
+    def offsets(self, table: np.ndarray) -> np.ndarray | None:
+        """Seconds ahead of UTC where the text says so, else None."""
+        if "off" not in self.at:
+            return None if self.offset is None else np.full(len(table), self.offset)
+        i, j = self.at["off"]
+        hours = self.integer(table, "off", skip=1, most=2)
+        minutes = self.integer(table, "off", skip=j - i - 2, most=2) if j - i > 3 else 0
+        return (hours * 3600 + minutes * 60) * (-1 if self.minus else 1)
+
+
+def find_parser(mask: bytes) -> Parser | None:
+    text = mask.decode("latin-1")
+    for name, pattern in COMPILED:
+        match = pattern.fullmatch(text)
+        if match:
+            return Parser(name, match, text)
+    return None
 
 
 def nearest(first: np.ndarray, second: np.ndarray, near: np.ndarray, has_near: np.ndarray) -> np.ndarray:
@@ -153,104 +204,127 @@ def nearest(first: np.ndarray, second: np.ndarray, near: np.ndarray, has_near: n
     return np.where(has_near & (np.abs(second - near) < np.abs(first - near)), second, first)
 
 
-DAY_US = 86_400_000_000
-
-
 class Normaliser:
-    """Keeps, per worker, which shape each mask has; texts of a known mask need no further search."""
-
-    def __init__(self, dated: bool) -> None:
-        self.dated = dated
-        self.shapes: dict[str, tuple[str, re.Pattern] | None] = {}
-
-    def shape(self, mask: str, example: str) -> tuple[str, re.Pattern] | None:
-        if mask not in self.shapes:
-            if len(self.shapes) > 100_000:  # masks of free text: what is forgotten is only searched again
-                self.shapes.clear()
-            self.shapes[mask] = next(((n, p) for n, p in COMPILED if p.fullmatch(example)), None)
-        return self.shapes[mask]
-
-    def __call__(self, texts: pd.Series, zone: np.ndarray, day_first: np.ndarray, near: np.ndarray, has_near: np.ndarray, service_day: np.ndarray) -> np.ndarray:
-        """Microseconds of the instants, float NaN-free: (values, known) as a masked array."""
-        values, known = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts), dtype=bool)
-        clean = pd.Series([normalised(x) if isinstance(x, str) else "" for x in texts], dtype=object)
-        masks = masked(clean)
-        for mask, index in clean.groupby(masks, sort=False).indices.items():
-            found = self.shape(mask, clean.iloc[index[0]]) if mask else None
-            if found is None:
-                continue
-            c = parse_mask(found[0], found[1], clean.iloc[index].reset_index(drop=True), day_first[index], self.dated)
-            if c.kind == "instant":
-                values[index], known[index] = c.local, c.ok
-                continue
-            local, ok = c.local, c.ok.copy()
-            if c.kind != "wall":
-                ok &= service_day[index] != NO_DAY
-                local = local + np.where(ok, service_day[index], 0) * DAY_US
-            out = np.zeros(len(index), dtype=np.int64)
-            fixed = np.zeros(len(index), dtype=bool) if c.offset is None else ~np.isnan(c.offset)
-            if fixed.any():
-                out[fixed] = local[fixed] - c.offset[fixed].astype(np.int64) * 1_000_000
-            zones = zone[index].copy()
-            if c.iana is not None:
-                named = pd.notna(c.iana)
-                zones[named] = c.iana[named]
-            rest = np.flatnonzero(~fixed & ok)
-            for name, at in pd.Series(zones[rest], dtype=object).groupby(zones[rest], sort=False).indices.items():
-                here = rest[at]
-                try:
-                    first, second = readings(local[here], name, 1_000_000)
-                except (KeyError, ValueError, OSError):
-                    ok[here] = False
+    """Keeps, per worker, which parser each mask has; texts of a known mask need no further search."""
+
+    def __init__(self, dated: bool, zones: Zones) -> None:
+        self.dated, self.zones = dated, zones
+        self.parsers: dict[bytes, Parser | None] = {}
+
+    def parser(self, mask: bytes) -> Parser | None:
+        if mask not in self.parsers:
+            if len(self.parsers) > 100_000 or len(mask) > TABLE_BYTES:  # masks of free text: what is not kept is only searched again
+                self.parsers.clear()
+            self.parsers[mask] = find_parser(mask)
+        return self.parsers[mask]
+
+    def __call__(self, texts: pa.Array, zone: pa.Array, day_first: np.ndarray, near: np.ndarray, has_near: np.ndarray, service_day: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(microseconds, known) of the instants."""
+        size = len(texts)
+        value, known = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=bool)
+        wall, half = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)  # clocks that wait for their zone, 12-hour ones without date
+        coded = pc.dictionary_encode(zone)
+        names: list[str] = coded.dictionary.to_pylist()
+        codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+        def code(name: str) -> int:
+            if name not in names:
+                names.append(name)
+            return names.index(name)
+
+        for rows, table in byte_tables(cleaned(texts)):
+            masks, which = np.unique(masked(table), return_inverse=True)
+            order = np.argsort(which, kind="stable")
+            ends = np.cumsum(np.bincount(which, minlength=len(masks))).tolist()
+            for mask, start, end in zip(masks.tolist(), [0, *ends], ends):
+                parser = self.parser(mask)
+                if parser is None:
+                    continue
+                picked = order[start:end]
+                part, index = table[picked], rows[picked]
+                if "n" in parser.at:
+                    value[index], ok, of_day = parser.epoch(part, self.dated)
+                    if not of_day:
+                        known[index] = ok
+                        continue
+                    offset = None
+                else:
+                    value[index], ok = parser.clock(part)
+                    of_day = parser.name == "clock"
+                    offset = parser.offsets(part)
+                    ok &= parser.known
+                if of_day:
+                    day = service_day[index]
+                    ok &= day != NO_DAY
+                    half[index] = bool(parser.half)
+                else:
+                    day, real = parser.days(part, day_first[index])
+                    ok &= real
+                value[index] += np.where(ok, day, 0) * DAY_US
+                known[index] = ok
+                if offset is not None:
+                    value[index] -= offset * 1_000_000
                     continue
-                wanted, has = near[index][here], has_near[index][here]
-                best = nearest(first, second, wanted, has)
-                if c.kind == "half clock":  # 12-hour clocks cannot say that they passed midnight
-                    later = nearest(*readings(local[here] + DAY_US, name, 1_000_000), wanted, has)
-                    best = nearest(best, later, wanted, has)
-                out[here] = best
-            missing = np.array([x is None or x != x for x in zones], dtype=bool) & ~fixed
-            values[index], known[index] = out, ok & ~missing
-        return np.ma.masked_array(values, mask=~known)
+                wall[index] = ok
+                if parser.iana is not None:
+                    codes[index] = code(parser.iana)
+                elif "iana" in parser.at:
+                    i, j = parser.at["iana"]
+                    codes[index] = [code(bytes(x).decode("ascii")) for x in part[:, i:j]]
+        for at in sorted(set(codes[wall].tolist())):
+            here = np.flatnonzero(wall & (codes == at))
+            if at < 0 or names[at] not in self.zones.files:
+                known[here] = False
+                continue
+            value[here] = self.instants(value[here], names[at], near[here], has_near[here], half[here])
+        return value, known
+
+    def instants(self, local: np.ndarray, zone: str, near: np.ndarray, has_near: np.ndarray, half: np.ndarray) -> np.ndarray:
+        best = nearest(*self.zones.readings(local, zone, 1_000_000), near, has_near)
+        if half.any():  # 12-hour clocks cannot say that they passed midnight
+            later = nearest(*self.zones.readings(local[half] + DAY_US, zone, 1_000_000), near[half], has_near[half])
+            best[half] = nearest(best[half], later, near[half], has_near[half])
+        return best
 
 
 NO_DAY = np.iinfo(np.int64).min
 
 
-def _convert(batches: Iterator[pa.RecordBatch], dated: bool) -> Iterator[pa.RecordBatch]:
-    convert = Normaliser(dated)
+def _convert(batches: Iterator[pa.RecordBatch], dated: bool, zones) -> Iterator[pa.RecordBatch]:
+    convert = Normaliser(dated, Zones(*zones.value))
     for batch in batches:
         if not batch.num_rows:
             continue
         column = lambda name: batch.column(batch.schema.get_field_index(name))
         near, day = column("near"), column("service_day")
-        got = convert(
-            pd.Series(column("text").to_pylist(), dtype=object),
-            np.array(column("zone").to_pylist(), dtype=object),
+        value, known = convert(
+            column("text"),
+            column("zone"),
             column("day_first").fill_null(False).to_numpy(zero_copy_only=False).astype(bool),
             near.fill_null(0).to_numpy(zero_copy_only=False),
             near.is_valid().to_numpy(zero_copy_only=False),
             day.fill_null(NO_DAY).to_numpy(zero_copy_only=False),
         )
-        yield pa.RecordBatch.from_arrays(
-            [column("id"), pa.array(got.data, type=pa.int64(), mask=np.ma.getmaskarray(got))], names=["id", "instant_us"]
-        )
+        yield pa.RecordBatch.from_arrays([column("id"), pa.array(value, type=pa.int64(), mask=~known)], names=["id", "instant_us"])
 
 
-def to_instants(rows: DataFrame, id_column: str, text: str, zone: str, day_first: str, near: str, service_date: str | None = None) -> DataFrame:
+def to_instants(rows: DataFrame, id_column: str, text: str, zone: str, day_first: str, near: str, service_date: str | None = None, zones: Zones | None = None) -> DataFrame:
     """(id, instant_us): the instant each row's text names, null if it names none.
 
     zone and day_first say how texts without zone and dates with slashes are meant, near which of
     several readings (the nearest). With service_date, clocks and counts of seconds of up to six
-    digits belong to that day's wall clock and may pass 24 h; without, they name no time. A null text,
-    a zone that is null or unknown where it is needed, and a bare 0 give null; repeated rows are kept.
+    digits belong to that day's wall clock and may pass 24 h; without, they name no time. Years go from 1
+    to 9999. A null text, a zone that is null or unknown where it is needed, and a bare 0 give null;
+    repeated rows are kept. zones: the version of the zone data to convert by, the driver's own by default.
     """
+    used = zones or installed_zones()
+    shipped = rows.sparkSession.sparkContext.broadcast((used.version, used.files))  # under 2 MB
     picked = rows.select(
         F.col(id_column).alias("id"), F.col(text).alias("text"), F.col(zone).alias("zone"), F.col(day_first).alias("day_first"),
         F.unix_micros(near).alias("near"),
         (F.unix_date(service_date) if service_date else F.lit(None)).cast("long").alias("service_day"),
     )
-    return picked.mapInArrow(partial(_convert, dated=service_date is not None), f"id {dict(rows.dtypes)[id_column]}, instant_us bigint")
+    return picked.mapInArrow(partial(_convert, dated=service_date is not None, zones=shipped), f"id {dict(rows.dtypes)[id_column]}, instant_us bigint")
 
 
 def raw_instants(raw: DataFrame, sources: DataFrame) -> DataFrame:

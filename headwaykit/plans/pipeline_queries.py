@@ -91,3 +91,59 @@ select route_id, period_start_s,
 from spread group by all""",
 }
 SQL["p2_increments"] = SQL["p2_corrected_counts"]
+
+# The spellings that the test tables have, one case each; readings of a wall clock by the offsets a day before and after it.
+SQL["p5_found"] = r"""
+with src as (
+  select 'temp_vehicle_events_stage_raw' as tbl, raw_id as row_id, vehicle_timestamp as txt, zone, coalesce(day_first, false) as df, epoch_us(ingestion_timestamp) as near, null::date as sd
+  from temp_vehicle_events_stage_raw left join feed_sources using (source)
+  union all
+  select 'realtime_stop_features', feature_row, scheduled_arrival, 'America/New_York', false, epoch_us(arrival_estimate), service_date from realtime_stop_features),
+clean as (select *, regexp_replace(txt, '^[\s\x{A0}"'']+|[\s\x{A0}"'']+$', '', 'g') as t from src),
+read as (
+  select *,
+    case
+      when regexp_full_match(t, '\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d.*') then try_strptime(replace(t[1:19], 'T', ' '), '%Y-%m-%d %H:%M:%S')
+      when regexp_full_match(t, '\d{2}\.\d{2}\.\d{4} \d\d:\d\d') then try_strptime(t, '%d.%m.%Y %H:%M')
+      when regexp_full_match(t, '([A-Za-z]+, )?\d\d [A-Za-z]{3} \d{4} \d\d:\d\d:\d\d [A-Z]+') then try_strptime(regexp_extract(t, '\d\d [A-Za-z]{3} \d{4} \d\d:\d\d:\d\d'), '%d %b %Y %H:%M:%S')
+      when regexp_full_match(t, '[A-Za-z]+ \d{1,2}, \d{4} at \d{1,2}:\d\d [APap][Mm]') then try_strptime(t, '%B %d, %Y at %I:%M %p')
+      when regexp_full_match(t, '\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d\d:\d\d [APap][Mm]') then if(df, try_strptime(t, '%d/%m/%Y %I:%M:%S %p'), try_strptime(t, '%m/%d/%Y %I:%M:%S %p'))
+      when regexp_full_match(t, '\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d\d:\d\d') then if(df, try_strptime(t, '%d/%m/%Y %H:%M:%S'), try_strptime(t, '%m/%d/%Y %H:%M:%S'))
+      when regexp_full_match(t, '\d{14}') then try_strptime(t, '%Y%m%d%H%M%S')
+      when regexp_full_match(t, '\d{8}T\d{6}Z') then try_strptime(t, '%Y%m%dT%H%M%SZ')
+      when sd is not null and regexp_full_match(t, '\d{1,2}:\d\d(:\d\d)?')
+        then sd::timestamp + to_seconds(split_part(t, ':', 1)::int * 3600 + split_part(t, ':', 2)::int * 60 + coalesce(try_cast(split_part(t, ':', 3) as int), 0))
+      when sd is not null and regexp_full_match(t, '\d{1,2}:\d\d [APap][Mm]')
+        then sd::timestamp + to_seconds((split_part(t, ':', 1)::int % 12 + if(lower(t) like '%pm', 12, 0)) * 3600 + regexp_extract(t, ':(\d\d)', 1)::int * 60)
+      when sd is not null and regexp_full_match(t, '\d{2,6}|[1-9]') then sd::timestamp + to_seconds(t::int)
+    end as wall,
+    case
+      when regexp_full_match(t, '/Date\(\d{13}\)/') then regexp_extract(t, '\d+')::bigint * 1000
+      when regexp_full_match(t, '\d{10}(\.\d+)?') then t[1:10]::bigint * 1000000 + coalesce(try_cast(rpad(split_part(t, '.', 2), 6, '0') as bigint), 0)
+      when regexp_full_match(t, '\d{13}') then t::bigint * 1000
+      when regexp_full_match(t, '\d{16}') then t::bigint
+    end as instant,
+    coalesce(try_cast(rpad(regexp_extract(t, ':\d\d:\d\d[.,](\d+)', 1), 6, '0') as bigint), 0) as part,
+    case
+      when regexp_matches(t, '\d[+-]\d\d:?\d\d$') and t like '%:%'
+        then (if(regexp_extract(t, '([+-])\d\d:?\d\d$', 1) = '-', -1, 1)) * (regexp_extract(t, '[+-](\d\d):?\d\d$', 1)::int * 3600 + right(t, 2)::int * 60)
+      when regexp_matches(t, '\d ?(Z|UTC|GMT)$') then 0
+      else case regexp_extract(t, ' ([A-Z]{3})$', 1) when 'EST' then -18000 when 'EDT' then -14400 when 'CST' then -21600 when 'CDT' then -18000 when 'IST' then 19800 end
+    end as ahead,
+    coalesce(nullif(regexp_extract(t, '\[(.+)\]$', 1), ''), zone) as z,
+    sd is not null and regexp_full_match(t, '\d{1,2}:\d\d [APap][Mm]') as half
+  from clean),
+walls as (
+  select *, unnest(if(half, [wall, wall + interval 1 day], [wall])) as w from read where instant is null and ahead is null and wall is not null and z is not null),
+around as (
+  select *, epoch_us(w - interval 1 day) - epoch_us(timezone(z, w - interval 1 day)) as o1, epoch_us(w + interval 1 day) - epoch_us(timezone(z, w + interval 1 day)) as o2 from walls),
+holding as (
+  select *, timezone(z, make_timestamptz(epoch_us(w) - o1)) = w as h1, timezone(z, make_timestamptz(epoch_us(w) - o2)) = w as h2 from around),
+several as (
+  select tbl, row_id, near, part, unnest(case when h1 and h2 then [epoch_us(w) - o1, epoch_us(w) - o2] when h2 and not h1 then [epoch_us(w) - o2] else [epoch_us(w) - o1] end) as us from holding),
+chosen as (
+  select tbl, row_id, us + part as us from several
+  qualify row_number() over (partition by tbl, row_id order by if(near is null, 0, abs(us + part - near)), us) = 1)
+select tbl, row_id, us // 1000 as instant_ms from chosen
+union all
+select tbl, row_id, coalesce(instant, epoch_us(wall) + part - ahead::bigint * 1000000) // 1000 from read where instant is not null or (ahead is not null and wall is not null)"""

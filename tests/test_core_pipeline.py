@@ -5,15 +5,16 @@ from datetime import date, datetime, timedelta, timezone
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from headwaykit.functions.geo import grid_cells, haversine
 from headwaykit.functions.keys import canonical_key, first_arrivals, with_event_key
-from headwaykit.functions.zones import readings
+from headwaykit.functions.zones import installed_zones
 from headwaykit.operators.dwell import stops_and_trips, stops_and_trips_of_rows
 from headwaykit.operators.panes import apply_batch, arrival_batches, compose_windows, corrected_by_batches, corrected_periods, pane_counts
-from headwaykit.operators.timestamps import to_instants
+from headwaykit.operators.timestamps import Normaliser, to_instants
 
 PINGS = "stage_row long, event_key string, ingestion_timestamp timestamp, vehicle_id string, vehicle_timestamp timestamp, latitude double, longitude double, route_id string, feed_timestamp timestamp"
 START = datetime(2026, 3, 1, 22, 0, tzinfo=timezone.utc)
@@ -219,13 +220,48 @@ def test_overlap_takes_the_nearest_reading_and_service_clocks_pass_midnight(spar
 def test_zone_tables_against_zoneinfo():
     from zoneinfo import ZoneInfo
 
+    zones = installed_zones()
     rng = np.random.default_rng(0)
-    for name in ("America/New_York", "Asia/Kolkata", "Australia/Lord_Howe", "UTC"):
-        utc = rng.integers(0, 2_000_000_000, 3000)
+    for name in ("America/New_York", "Asia/Kolkata", "Australia/Lord_Howe", "UTC", "Africa/Casablanca", "Europe/Dublin", "Etc/GMT+5"):
+        utc = rng.integers(-4_000_000_000, 30_000_000_000, 3000)
         info = ZoneInfo(name)
         local = np.array([int((d := datetime.fromtimestamp(int(u), info)).replace(tzinfo=timezone.utc).timestamp()) for u in utc])
-        first, second = readings(local, name, 1)
+        first, second = zones.readings(local, name, 1)
         assert ((first == utc) | (second == utc)).all()
+    assert "-" in zones.version
+
+
+#: Texts that only letters tell from others of the same classes, each with a good one of its kind.
+LOOKALIKES = [
+    ("2024-01-01X10:00:00Z", "2024-01-01T10:00:00Z"), ("/Data(1772377200000)/", "/Date(1772377200000)/"), ("March 1, 2026 xx 10:00 am", "March 1, 2026 at 10:00 am"),
+    ("March 1, 2026 10:00 xm", "March 1, 2026 10:00 am"), ("01 Mar 2026 09:00:00 QQQ", "01 Mar 2026 09:00:00 CST"), ("01 Mxx 2026 09:00:00 CST", "01 Mar 2026 09:00:00 CST"),
+    ("20260301X100000Z", "20260301T100000Z"), ("2026-03-01 10:00:00 Q", "2026-03-01 10:00:00 Z"), ("2026-03-01T10:00:00[No/Where]", "2026-03-01T10:00:00[Asia/Kolkata]"),
+    ("2026-13-01T10:00:00Z", "2026-12-01T10:00:00Z"), ("10:99:00 xm", "10:59:00 am"),
+]
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_texts_are_read_whatever_stands_before_them(order):
+    read = lambda texts, by: by(pa.array(texts), pa.array(["America/New_York"] * len(texts)), *(np.zeros(len(texts), t) for t in (bool, np.int64, bool)), np.zeros(len(texts), np.int64))
+    zones = installed_zones()
+    alone = {t: [x.tolist() for x in read([t], Normaliser(True, zones))] for pair in LOOKALIKES for t in pair}
+    assert all(alone[good][1] == [True] and alone[bad][1] == [False] for bad, good in LOOKALIKES)
+    texts = [t for pair in LOOKALIKES for t in pair[::order]]
+    value, known = read(texts, Normaliser(True, zones))  # all in one batch
+    assert [[[v], [k]] for v, k in zip(value.tolist(), known.tolist()) if k] == [alone[t] for t in texts if alone[t][1][0]]
+    assert known.tolist() == [alone[t][1][0] for t in texts]
+    by = Normaliser(True, zones)  # one after the other
+    assert [[x.tolist() for x in read([t], by)][1] for t in texts] == [alone[t][1] for t in texts]
+
+
+def test_years_from_1_to_9999_and_very_long_texts():
+    read = lambda t: Normaliser(False, installed_zones())(pa.array([t]), pa.array(["America/New_York"]), *(np.zeros(1, x) for x in (bool, np.int64, bool, np.int64)))
+    seconds = lambda t: (lambda v, k: v[0] / 1e6 if k[0] else None)(*read(t))
+    want = lambda *a: datetime(*a, tzinfo=timezone.utc).timestamp()
+    assert seconds("2100-01-01T00:00:00Z") == want(2100, 1, 1) and seconds("9999-12-31T23:59:59Z") == want(9999, 12, 31, 23, 59, 59) and seconds("0001-01-01T00:00:00Z") == want(1, 1, 1)
+    assert seconds("2800-07-01 12:00:00") == want(2800, 7, 1, 16) and seconds("9998-01-01 12:00:00") == want(9998, 1, 1, 17) and seconds("1899-07-01 12:00:00") == want(1899, 7, 1, 17)
+    assert seconds("2026-03-01T10:00:00." + "1" * 500 + "Z") == want(2026, 3, 1, 10) + 0.111111 and seconds("x" * 100_000) is None and seconds("\u0662\u0660\u0662\u0666-03-01T10:00:00Z") == want(2026, 3, 1, 10)
+    assert seconds("9" * 19) is not None and seconds("2026-03-01T10:00:00[Etc/GMT+5]") == want(2026, 3, 1, 15)
 
 
 def test_empty_timestamps(spark):
