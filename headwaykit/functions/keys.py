@@ -37,6 +37,26 @@ def first_arrivals(rows: DataFrame, keep: list[str], key: str = "event_key", ing
     return first.select(*named, *[F.col(f"_first.{c}").alias(c) for c in keep])
 
 
+def sieved(history: DataFrame, history_key: Column, batch: DataFrame, batch_key: Column, words: int = 1 << 17) -> DataFrame:
+    """The rows of history whose key may be among the batch's, so that history is read but what is not concerned is not shuffled.
+
+    The batch's keys set bits in a table of `words` words of 64 bits, which is broadcast: `words` rows at
+    most, whatever the sizes (2 MB as it stands). A key sets one bit, so rows whose key is in the batch all stay, of
+    the others about a share of keys / (64 * words), all of them for a batch far beyond that. Null keys go.
+    """
+    if words & (words - 1):
+        raise ValueError("words must be a power of two")
+    code = lambda key: F.xxhash64(F.lit(11), key)
+    word = lambda c: F.shiftrightunsigned(c, 65 - words.bit_length())
+    place = lambda c: c.bitwiseAND(63).cast("int")
+    # No filter on the batch's key: one would go below an aggregate that the batch's other readers share.
+    codes = batch.select(code(batch_key).alias("_code"))
+    bits = codes.groupBy(word(F.col("_code")).alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place(F.col("_code")))).alias("_bits"))
+    coded = history.where(history_key.isNotNull()).withColumn("_code", code(history_key)).alias("_h")
+    met = (word(F.col("_h._code")) == F.col("_b._word")) & (F.bit_get(F.col("_b._bits"), place(F.col("_h._code"))) == 1)
+    return coded.join(F.broadcast(bits.alias("_b")), met, "left_semi").drop("_code")
+
+
 def with_event_key(raw: DataFrame) -> DataFrame:
     """Adds event_key: sha256 of vehicle|vehicle time|trip, or with the feed time and entity if there is no vehicle time.
 

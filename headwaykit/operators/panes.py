@@ -9,13 +9,12 @@ all batches: a ledger of first arrivals goes from batch to batch beside the pane
 from __future__ import annotations
 
 import math
-import tempfile
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headwaykit.functions.keys import first_arrivals
-from headwaykit.session import checkpoint_dir
+from headwaykit.functions.keys import first_arrivals, sieved
+from headwaykit.session import written
 
 
 def pane_seconds(window_s: int, slide_s: int) -> int:
@@ -36,7 +35,7 @@ def _place(window_s: int, slide_s: int) -> list[Column]:
     ]
 
 
-def pane_counts(events: DataFrame, window_s: int, slide_s: int, group: str = "route_id") -> DataFrame:
+def pane_counts(events: DataFrame, window_s: int, slide_s: int, group: str = "route_id", correct_until_s: int = 7200) -> DataFrame:
     """(group, pane_start_s, arrived_s, n): events by pane and by the moment of their first arrival.
 
     Each event counts once, by its first arrival. arrived_s is rounded up to full seconds, so an event
@@ -44,13 +43,18 @@ def pane_counts(events: DataFrame, window_s: int, slide_s: int, group: str = "ro
     """
     once = first_arrivals(events, [group, "vehicle_timestamp", "feed_timestamp", "ingestion_timestamp"])
     placed = once.select(group, *_place(window_s, slide_s)).withColumn("n", F.lit(1).cast("long"))
-    return pane_sums(placed, group)
+    return pane_sums(placed, group, window_s, correct_until_s)
 
 
-def pane_sums(placed: DataFrame, group: str = "route_id") -> DataFrame:
-    """(group, pane_start_s, arrived_s, n): what rows with a place and a number n, a ledger's say, add up to."""
+def pane_sums(placed: DataFrame, group: str = "route_id", window_s: int = 900, correct_until_s: int = 7200) -> DataFrame:
+    """(group, pane_start_s, arrived_s, n): what rows with a place and a number n, a ledger's say, add up to.
+
+    What comes when all windows over its pane are closed is put to the second after that, so a pane has
+    window_s + correct_until_s + 2 rows at most past its start, however many events come how late.
+    """
     counting = F.col(group).isNotNull() & F.col("pane_start_s").isNotNull() & F.col("arrived_s").isNotNull()
-    return placed.where(counting).groupBy(group, "pane_start_s", "arrived_s").agg(F.sum("n").alias("n"))
+    arrived = F.least("arrived_s", F.col("pane_start_s") + (window_s + correct_until_s + 1)).alias("arrived_s")
+    return placed.where(counting).groupBy(group, "pane_start_s", arrived).agg(F.sum("n").alias("n"))
 
 
 def new_arrivals(batch: DataFrame, known: DataFrame | None, window_s: int, slide_s: int, group: str = "route_id") -> DataFrame:
@@ -66,7 +70,7 @@ def new_arrivals(batch: DataFrame, known: DataFrame | None, window_s: int, slide
     row = F.struct(*order, *place)
     if known is None:
         return now.withColumn("n", F.lit(1).cast("long"))
-    before = known.where("n > 0").select("_event", row.alias("_before"))
+    before = sieved(known.where("n > 0"), F.col("_event"), now, F.col("_event")).select("_event", row.alias("_before"))
     # A moved event has several rows in the ledgers; the earliest holds.
     both = now.select("_event", row.alias("_now")).join(before, "_event", "left").groupBy("_event").agg(F.min("_now").alias("_now"), F.min("_before").alias("_before"))
     at = lambda c: F.struct(*[F.col(f"{c}.{o}") for o in order])
@@ -117,26 +121,35 @@ def corrected_periods(
     what comes later is counted as too late only. Null groups, and events without any time, do not
     count; a repeated event counts at its first arrival. An empty table gives no rows.
     """
-    panes = pane_counts(events, window_s, slide_s, group)
+    panes = pane_counts(events, window_s, slide_s, group, correct_until_s)
     return compose_windows(panes, window_s, slide_s, group, publish_after_s, correct_until_s)
 
 
-def apply_batch(state: DataFrame, batch_panes: DataFrame, window_s: int, slide_s: int, group: str = "route_id") -> tuple[DataFrame, DataFrame]:
+def apply_batch(state: DataFrame | None, batch_panes: DataFrame, window_s: int, slide_s: int, group: str = "route_id") -> tuple[DataFrame, DataFrame]:
     """(new state, panes of the windows to give out again) after a batch's pane counts are added to the state.
 
-    batch_panes must hold no event of an earlier batch again: pane_sums of new_arrivals gives them so.
-    Only panes that a window of a changed pane also covers are given, `touched` where the batch changed
-    them: a join on the changed windows, so the rest of the history is not recomposed.
+    batch_panes must hold no event of an earlier batch again: pane_sums of new_arrivals gives them so. The
+    state is a log of such counts, to which the batch's are added and nothing is rewritten; where it is
+    stored by batch, a file's bounds on pane_start_s tell whether it is read at all: panes outside the
+    batch's are not. Only panes that a window of a changed pane also covers are given, `touched` where the batch
+    changed them, so the rest of the history is neither shuffled nor recomposed.
     """
-    reach = window_s - pane_seconds(window_s, slide_s)
-    merged = state.unionByName(batch_panes).groupBy(group, "pane_start_s", "arrived_s").agg(F.sum("n").alias("n"))
-    around = F.sequence(F.col("pane_start_s") - reach, F.col("pane_start_s") + reach, F.lit(pane_seconds(window_s, slide_s)).cast("long"))
+    pane = pane_seconds(window_s, slide_s)
+    reach = window_s - pane
+    around = F.sequence(F.col("pane_start_s") - reach, F.col("pane_start_s") + reach, F.lit(pane).cast("long"))
     near = (
         batch_panes.select(group, F.col("pane_start_s").alias("_pane"), F.explode(around).alias("pane_start_s"))
         .groupBy(group, "pane_start_s")
         .agg(F.max(F.col("_pane") == F.col("pane_start_s")).alias("touched"))
     )
-    return merged.where("n != 0"), merged.join(near, [group, "pane_start_s"])
+    if state is None:
+        log = concerned = batch_panes
+    else:
+        span = batch_panes.agg(F.min("pane_start_s").alias("a"), F.max("pane_start_s").alias("b")).first()
+        log = state.unionByName(batch_panes)
+        concerned = log.where(F.col("pane_start_s").between((span["a"] or 0) - reach, (span["b"] or 0) + reach))
+    changed = concerned.join(near, [group, "pane_start_s"]).groupBy(group, "pane_start_s", "arrived_s").agg(F.sum("n").alias("n"), F.max("touched").alias("touched"))
+    return log, changed
 
 
 def arrival_batches(events: DataFrame, parts: int) -> list[DataFrame]:
@@ -158,19 +171,17 @@ def corrected_by_batches(
 ) -> DataFrame:
     """corrected_periods of all batches together, by increments: each window as it was last given out.
 
-    Ledgers, panes and windows of each batch are written to the checkpoint folder. A batch reads the
-    ledgers before it for their keys and, of the panes, those under the windows it changes.
+    Ledgers, panes and windows of each batch are written to the checkpoint folder. A batch sieves the
+    ledgers before it by its keys and, of the panes, reads those about its own.
     """
     if not batches:
         raise ValueError("no batches")
-    checkpoint_dir(batches[0].sparkSession, tempfile.gettempdir())
     known = state = given = None
     for number, batch in enumerate(batches):
-        ledger = new_arrivals(batch, known, window_s, slide_s, group).checkpoint()
-        sums = pane_sums(ledger, group)
-        state, changed = apply_batch(sums.where("false") if state is None else state, sums, window_s, slide_s, group)
-        windows = compose_windows(changed, window_s, slide_s, group, publish_after_s, correct_until_s).withColumn("_batch", F.lit(number)).checkpoint()
-        state = state.checkpoint()
+        ledger = written(new_arrivals(batch, known, window_s, slide_s, group), "ledger")
+        sums = written(pane_sums(ledger, group, window_s, correct_until_s), "panes")
+        state, changed = apply_batch(state, sums, window_s, slide_s, group)
+        windows = written(compose_windows(changed, window_s, slide_s, group, publish_after_s, correct_until_s).withColumn("_batch", F.lit(number)), "windows")
         known = ledger if known is None else known.unionByName(ledger)
         given = windows if given is None else given.unionByName(windows)
     columns = [c for c in given.columns if c not in (group, "period_start_s", "_batch")]

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headwaykit.functions.keys import sieved
 from headwaykit.operators.dedup import duplicate_keys
 
 
@@ -19,7 +20,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def new_rows(stored: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.join(stored.select(*keys), keys, "left_anti")
+    """The rows whose key is not stored. Stored rows are read, but only those whose key may be among the new ones are shuffled."""
+    key = F.xxhash64(*keys)
+    return rows.join(sieved(stored.select(*keys), key, rows, key), keys, "left_anti")
 
 
 def insert_only(path: str, rows: DataFrame, keys: list[str], partition: str) -> None:

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import atexit
+import shutil
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "headwaykit", master: str | None = None, **conf: str) -> SparkSession:
@@ -15,18 +20,34 @@ def build_session(app: str = "headwaykit", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         **conf,
     }
     return builder.config(map=settings).getOrCreate()
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """The shared checkpoint folder: the cluster's own setting; on one machine, where it is unset, `fallback`."""
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder: the cluster's own setting; on one machine, where it is unset, a folder that goes with the process."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not (context.master.startswith("local") and "cluster" not in context.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(shared or fallback)
+        if shared is None:
+            if not context.master.startswith("local") or "cluster" in context.master:
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            shared = tempfile.mkdtemp(prefix="headwaykit-")
+            atexit.register(shutil.rmtree, shared, ignore_errors=True)
+        context.setCheckpointDir(shared)
     return context.getCheckpointDir()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new place in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """The rows, written to the shared checkpoint folder and read from there: a cut in the lineage that outlives executors."""
+    place = scratch(rows.sparkSession, name)
+    rows.write.parquet(place)
+    return rows.sparkSession.read.schema(rows.schema).parquet(place)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from headwaykit.functions.keys import canonical_key
+from headwaykit.functions.keys import canonical_key, event_identity
+from headwaykit.operators.dedup import keep_first
 from headwaykit.operators.panes import apply_batch, compose_windows, new_arrivals, pane_sums
 from headwaykit.operators.upsert import _exists, insert_only, upsert
 
@@ -45,16 +46,26 @@ def pane_updates(
 ) -> StreamingQuery:
     """What corrected_periods gives, on a stream: hands the windows that a micro-batch changes to `give`.
 
-    The ledgers of first arrivals are stored in `path` by micro-batch; a batch that is run again reads those
-    before it only and writes its own anew. The events need stage_row. A window with zeros is withdrawn.
+    The ledgers of first arrivals and the panes' counts are stored in `path` by micro-batch; a batch that
+    is run again reads those before it only and writes its own anew. The events need stage_row. A window with
+    zeros is withdrawn.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark, own = batch.sparkSession, f"{path}/batch={number}"
-        known = spark.read.parquet(path).where(F.col("batch") < number).drop("batch") if _exists(spark, path) else None
-        new_arrivals(batch, known, window_s, slide_s, group).write.mode("overwrite").parquet(own)
-        sums = pane_sums(spark.read.parquet(own), group)
-        state = sums.where("false") if known is None else pane_sums(known, group)
+        spark = batch.sparkSession
+
+        def before(kind: str) -> DataFrame | None:
+            place = f"{path}/{kind}"
+            return spark.read.parquet(place).where(F.col("batch") < number).drop("batch") if _exists(spark, place) else None
+
+        def store(rows: DataFrame, kind: str) -> DataFrame:
+            own = f"{path}/{kind}/batch={number}"
+            rows.write.mode("overwrite").parquet(own)
+            return spark.read.schema(rows.schema).parquet(own)
+
+        ledger = store(new_arrivals(batch, before("ledgers"), window_s, slide_s, group), "ledgers")
+        state = before("panes")
+        sums = store(pane_sums(ledger, group, window_s, correct_until_s), "panes")
         _, changed = apply_batch(state, sums, window_s, slide_s, group)
         give(compose_windows(changed, window_s, slide_s, group, publish_after_s, correct_until_s), number)
 
@@ -67,10 +78,17 @@ def session_stream(snapshots: DataFrame, ts: str, by: str, gap_s: int = 90) -> D
 
 
 def land_events(stream: DataFrame, path: str, checkpoint: str, partition: str = "ingestion_date") -> StreamingQuery:
-    """Adds each micro-batch's new keys to a stored table; a batch that is run again adds nothing."""
+    """Adds each micro-batch's new events to a stored table; a batch that is run again adds nothing.
+
+    Of an event's copies in a batch the earliest is kept, under its key's canonical form, so that keys
+    however written are held against the stored ones. A row without key stands for itself.
+    """
 
     def write(batch: DataFrame, _: int) -> None:
-        dated = batch.dropDuplicates(["event_key"]).withColumn(partition, F.to_date("ingestion_timestamp"))
+        row = F.xxhash64(*sorted(batch.columns))
+        keyed = batch.withColumn("_key", event_identity(F.col("event_key"), row))
+        first = keep_first(keyed, ["_key"], [F.col("ingestion_timestamp").asc_nulls_last(), row.asc()])
+        dated = first.withColumn("event_key", F.lower(F.hex("_key"))).drop("_key").withColumn(partition, F.to_date("ingestion_timestamp"))
         insert_only(path, dated, ["event_key"], partition)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

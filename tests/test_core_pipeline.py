@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from headwaykit.functions.geo import grid_cells, haversine
-from headwaykit.functions.keys import canonical_key, first_arrivals, with_event_key
+from headwaykit.functions.keys import canonical_key, first_arrivals, sieved, with_event_key
 from headwaykit.functions.zones import installed_zones
 from headwaykit.operators.dwell import stops_and_trips, stops_and_trips_of_rows
 from headwaykit.operators.panes import apply_batch, arrival_batches, compose_windows, corrected_by_batches, corrected_periods, pane_counts
@@ -129,6 +129,21 @@ def test_first_arrival_wins(spark):
     assert sorted(r.vehicle_id for r in first_arrivals(frame(spark, rows), ["vehicle_id"]).collect()) == ["first", "tie"]
 
 
+@pytest.mark.parametrize("words", [1, 64, 1 << 17])
+def test_sieve_keeps_every_key_of_the_batch(spark, words):
+    batch = spark.createDataFrame([(key(i),) for i in range(0, 300, 3)] + [(None,)], "k string")
+    history = spark.createDataFrame([(key(i), i) for i in range(2000)] + [(None, -1)], "event_key string, n int")
+    got = {r.n for r in sieved(history, F.col("event_key"), batch, F.col("k"), words).collect()}
+    assert got >= set(range(0, 300, 3)) and -1 not in got
+    assert words < 1 << 17 or len(got) < 110
+    assert sieved(history, F.col("event_key"), batch.where("false"), F.col("k"), words).count() == 0
+
+
+def test_a_pane_has_a_row_for_all_that_is_too_late(spark):
+    rows = [ping(i, "v", 0, 0, ingestion_timestamp=START + timedelta(seconds=20_000 + i)) for i in range(50)]
+    assert [r.n for r in pane_counts(frame(spark, rows), 900, 900).collect()] == [50]
+
+
 def arrivals(spark, n=400, seed=1):
     random.seed(seed)
     rows = []

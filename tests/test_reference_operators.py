@@ -183,7 +183,8 @@ def test_historical_features_end_of_trip_and_clock_rule(spark):
     assert (clock[1].trip_type, clock[1].service_hour, clock[2].service_hour) == ("ADDED", 10, 1)
 
 
-def test_checkpoint_folder_is_kept_once_set(spark, tmp_path):
-    from headwaykit.session import checkpoint_dir
+def test_checkpoint_folder_is_kept_once_set(spark):
+    from headwaykit.session import checkpoint_dir, scratch, written
 
-    assert checkpoint_dir(spark, str(tmp_path)) == spark.sparkContext.getCheckpointDir() != str(tmp_path)
+    assert scratch(spark, "x").startswith(checkpoint_dir(spark)) and checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
+    assert written(spark.createDataFrame([(1, None)], "a int, b string"), "y").collect() == [(1, None)]

@@ -208,10 +208,10 @@ def test_landing_is_idempotent_and_scopes_are_recomputed(spark, tmp_path):
     path, table = tmp_path / "in", str(tmp_path / "events")
     write_events(spark, path, 0, [event(1, 1, trip="a"), event(2, 2, trip="b")])
     land_events(read_stream(spark, path), table, str(tmp_path / "c1")).awaitTermination()
-    write_events(spark, path, 1, [event(1, 1, 9, trip="a"), event(3, 5, trip="a")])
+    write_events(spark, path, 1, [(event(1, 1)[0].upper(), *event(1, 1, 9, trip="a")[1:]), event(3, 5, trip="a"), event(3, 5, 7, trip="a")])
     land_events(read_stream(spark, path), table, str(tmp_path / "c1")).awaitTermination()
     land_events(read_stream(spark, path), table, str(tmp_path / "other")).awaitTermination()  # replay
-    assert spark.read.parquet(table).count() == 3
+    assert {(r.event_key, r.ingestion_timestamp.minute) for r in spark.read.parquet(table).collect()} == {(event(n, 0)[0], m) for n, m in ((1, 1), (2, 2), (3, 5))}
     load = lambda s, scopes: s.read.parquet(table).join(scopes, ["trip_id"], "left_semi")
     compute = lambda rows: rows.groupBy("trip_id").agg(F.count("*").alias("n"), F.min(F.to_date("ingestion_timestamp")).alias("day"))
     out = str(tmp_path / "out")
