@@ -10,11 +10,14 @@ out, verifies the true distance and appends its own points.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headwaykit.functions.geo import distance_m
-from headwaykit.functions.keys import canonical_key
+from headwaykit.functions.keys import canonical_key, event_identity, sieved
+from headwaykit.session import written
 
 #: Pivots (latitude, longitude), far from each other as seen from anywhere on the ground.
 PIVOTS = ((0.0, 0.0), (0.0, 90.0), (89.0, 0.0))
@@ -27,18 +30,26 @@ SLACK_M = 0.01
 
 
 def first_keys(records: DataFrame, registry: DataFrame | None) -> DataFrame:
-    """stage_row of the records that first bring a key which is not in the registry.
+    """stage_row of the records that first bring a key which is not in the registry; records without key among them.
 
-    One aggregate by key over both tables, combined before the shuffle: copies cost nothing extra.
+    registry: `event_key` however written, or `key` as append_keys stores it. One aggregate by key over the
+    records, combined before the shuffle, so copies cost nothing extra. The registry is read through a sieve of
+    the records' keys: what they cannot meet is not shuffled.
     """
-    seen = records.select(
-        canonical_key(F.col("event_key")).alias("_key"), F.struct("ingestion_timestamp", "stage_row").alias("_order"), F.lit(False).alias("_old")
+    # Both readers of `seen` below need all its columns, so they share its shuffle.
+    seen = records.groupBy(event_identity(F.col("event_key"), F.col("stage_row")).alias("_key")).agg(
+        F.min(F.struct(F.unix_micros("ingestion_timestamp").alias("i"), F.col("stage_row").alias("r"))).alias("_order")
     )
     if registry is not None:
-        none = F.lit(None).cast(seen.schema["_order"].dataType)
-        seen = seen.unionByName(registry.select(canonical_key(F.col("event_key")).alias("_key"), none.alias("_order"), F.lit(True).alias("_old")))
-    by_key = seen.where("_key is not null").groupBy("_key").agg(F.max("_old").alias("_old"), F.min_by(F.col("_order.stage_row"), F.col("_order")).alias("stage_row"))
-    return by_key.where(~F.col("_old")).select("stage_row")
+        old = registry.select((F.col("key") if "key" in registry.columns else canonical_key(F.col("event_key"))).alias("_key"))
+        asked = seen.where("_order is not null")
+        seen = seen.join(sieved(old, F.col("_key"), asked, F.col("_key")), "_key", "left_anti")
+    return seen.select(F.col("_order.r").alias("stage_row"))
+
+
+def _is_whole() -> Column:
+    given = [F.col(c).isNotNull() for c in ("vehicle_id", "trip_id", "vehicle_timestamp", "latitude", "longitude")]
+    return reduce(Column.__and__, [*given, ~F.isnan("latitude"), ~F.isnan("longitude")])
 
 
 def pivot_points(records: DataFrame, seconds: float, metres: float) -> DataFrame:
@@ -47,11 +58,7 @@ def pivot_points(records: DataFrame, seconds: float, metres: float) -> DataFrame
     Records that repeat an observation exactly are represented by the first, so groups of copies never
     meet each other in a join.
     """
-    whole = records.where(
-        F.col("vehicle_id").isNotNull() & F.col("trip_id").isNotNull() & F.col("vehicle_timestamp").isNotNull()
-        & F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & ~F.isnan("latitude") & ~F.isnan("longitude")
-    )
-    points = whole.groupBy("vehicle_id", "trip_id", F.unix_micros("vehicle_timestamp").alias("t"), "latitude", "longitude").agg(
+    points = records.where(_is_whole()).groupBy("vehicle_id", "trip_id", F.unix_micros("vehicle_timestamp").alias("t"), "latitude", "longitude").agg(
         F.min(F.struct(F.unix_micros("ingestion_timestamp").alias("i"), F.col("stage_row").alias("r"))).alias("first")
     )
     far = lambda p: distance_m(F.col("latitude"), F.col("longitude"), F.lit(p[0]), F.lit(p[1]))
@@ -62,6 +69,13 @@ def _slot(distance: Column, width: float) -> Column:
     return F.floor(distance / F.lit(width)).cast("long")
 
 
+def _entered(points: DataFrame, slot: str, distance: str, reach: float, width: float) -> DataFrame:
+    """Each point in the slots within reach of it, two at most. As an array of two, of which no filter goes below the aggregate that all readers of the points share."""
+    first, last = _slot(F.col(distance) - reach, width), _slot(F.col(distance) + reach, width)
+    both = points.select("*", F.posexplode(F.array(first, last)).alias("_side", slot))
+    return both.where((F.col("_side") == 0) | (first != last)).drop("_side")
+
+
 def near_earlier(new: DataFrame, known: DataFrame, seconds: float, metres: float) -> DataFrame:
     """Points of `new` (vehicle_id, trip_id, t, latitude, longitude) with an earlier, different point of `known` within reach.
 
@@ -70,11 +84,7 @@ def near_earlier(new: DataFrame, known: DataFrame, seconds: float, metres: float
     """
     us, wide_t, wide_d = int(seconds * 1_000_000), seconds * 1_000_000 * TIME_SLOTS, metres * SPACE_SLOTS
     reach = metres + SLACK_M
-    index = (
-        known.withColumn("_ts", F.explode(F.sequence(_slot(F.col("t") - us, wide_t), _slot(F.col("t") + us, wide_t))))
-        .withColumn("_ds", F.explode(F.sequence(_slot(F.col("d0") - reach, wide_d), _slot(F.col("d0") + reach, wide_d))))
-        .alias("k")
-    )
+    index = _entered(_entered(known, "_ts", "t", us, wide_t), "_ds", "d0", reach, wide_d).alias("k")
     probe = new.withColumn("_ts", _slot(F.col("t"), wide_t)).withColumn("_ds", _slot(F.col("d0"), wide_d)).alias("n")
     keys = [F.col(f"n.{c}") == F.col(f"k.{c}") for c in ("vehicle_id", "trip_id", "_ts", "_ds")]
     pruned = [F.abs(F.col(f"n.d{i}") - F.col(f"k.d{i}")) <= reach for i in range(len(PIVOTS))]
@@ -100,20 +110,16 @@ def known_already(
     a record that lacks vehicle, trip, time or position is near nothing. Earlier records count whether or
     not they were repeats. Empty tables give no rows; other columns are ignored.
     """
-    points = pivot_points(records, seconds, metres)
+    points = written(pivot_points(records, seconds, metres), "points")  # read three times below
     known = points if known_points is None else points.unionByName(known_points)
     alone = points.select(F.col("first.r").alias("stage_row"), F.lit(1).alias("point"))
     near = near_earlier(points, known, seconds, metres).select(F.col("first.r").alias("stage_row"), F.lit(2).alias("point"))
     fresh = first_keys(records, registry).select("stage_row", F.lit(4).alias("point"))
-    # All marks of a record in one aggregate: is it the first of its point (1), near an earlier one (2), the first of its key (4)?
-    whole = F.col("vehicle_id").isNotNull() & F.col("trip_id").isNotNull() & F.col("vehicle_timestamp").isNotNull() & F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & ~F.isnan("latitude") & ~F.isnan("longitude")
-    base = records.select("stage_row", F.when(whole, 8).otherwise(0).alias("_whole"), F.when(F.col("event_key").isNull(), 16).otherwise(0).alias("_keyless"))
-    marks = base.select("stage_row", (F.col("_whole") + F.col("_keyless")).alias("point")).unionByName(alone).unionByName(near).unionByName(fresh)
-    bits = marks.groupBy("stage_row").agg(F.bit_or("point").alias("bits"))
+    # All marks of a record in one aggregate: is it the first of its point (1), near an earlier one (2), the first of its key (4), whole (8)?
+    base = records.select("stage_row", F.when(_is_whole(), 8).otherwise(0).alias("point"))
+    bits = base.unionByName(alone).unionByName(near).unionByName(fresh).groupBy("stage_row").agg(F.bit_or("point").alias("bits"))
     bit = lambda n: F.col("bits").bitwiseAND(n) != 0
-    same_key = ~bit(4) & ~bit(16)
-    same_point = bit(8) & (~bit(1) | bit(2))
-    return bits.where(same_key | same_point).select("stage_row")
+    return bits.where(~bit(4) | bit(8) & (~bit(1) | bit(2))).select("stage_row")
 
 
 def append_points(batch: DataFrame, path: str, seconds: float = 2.0, metres: float = 50.0) -> None:
@@ -123,10 +129,8 @@ def append_points(batch: DataFrame, path: str, seconds: float = 2.0, metres: flo
 
 
 def append_keys(batch: DataFrame, path: str) -> None:
-    """Adds a batch's keys to the stored registry, partitioned by the key's first byte."""
-    key = canonical_key(F.col("event_key"))
-    keys = batch.select(F.hex(key).alias("event_key")).where("event_key is not null").distinct()
-    keys.withColumn("prefix", F.substring("event_key", 1, 2)).write.mode("append").partitionBy("prefix").parquet(path)
+    """Adds a batch's keys to the stored registry, in their canonical bytes (`key`), of whatever spelling they were. Null keys go."""
+    batch.select(canonical_key(F.col("event_key")).alias("key")).where("key is not null").distinct().write.mode("append").parquet(path)
 
 
 def stored_points(spark, path: str, batch: DataFrame, seconds: float = 2.0) -> DataFrame:
@@ -137,3 +141,26 @@ def stored_points(spark, path: str, batch: DataFrame, seconds: float = 2.0) -> D
     if span["a"] is None:
         return table.where("false").drop("day")
     return table.where(F.col("day").between((span["a"] - us) // 86_400_000_000, (span["b"] + us) // 86_400_000_000)).drop("day")
+
+
+def known_by_batches(batches: list[DataFrame], registry: DataFrame | None, points: str, keys: str, seconds: float = 2.0, metres: float = 50.0) -> DataFrame:
+    """known_already of all batches, one after the other against what is stored: each appends its points and keys for the next.
+
+    batches in order of ingestion. points and keys are the places of the stored tables. A batch reads the stored
+    points of its days and sieves the stored keys; the registry of before, if any, is sieved alike.
+    """
+    found = None
+    for number, batch in enumerate(batches):
+        spark = batch.sparkSession
+        stored = registry
+        if number:
+            own = spark.read.parquet(keys)
+            old = None if registry is None else registry.select((F.col("key") if "key" in registry.columns else canonical_key(F.col("event_key"))).alias("key"))
+            stored = own if old is None else own.unionByName(old)
+        repeats = known_already(batch, stored, stored_points(spark, points, batch, seconds) if number else None, seconds, metres)
+        found = written(repeats, "repeats") if found is None else found.unionByName(written(repeats, "repeats"))
+        append_points(batch, points, seconds, metres)
+        append_keys(batch, keys)
+    if found is None:
+        raise ValueError("no batches")
+    return found

@@ -12,8 +12,6 @@ one due first runs. At every slot each source is then less than one block from i
 from __future__ import annotations
 
 import heapq
-import tempfile
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,7 +135,7 @@ def targeted_size(documents: DataFrame, targets: DataFrame, size: str) -> int:
 
 def counted(documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id, source, size in tokens; written to the checkpoint folder, since the mix reads it several times."""
-    checkpoint_dir(documents.sparkSession, tempfile.gettempdir())
+    checkpoint_dir(documents.sparkSession)
     keyed = documents.select(F.struct("doc_id", "source").alias("_id"), "text")
     tokens = encode_corpus(keyed, "_id", vocabulary=vocabulary, counts=True)
     return tokens.select("_id.doc_id", "_id.source", F.col("ids").alias("size")).checkpoint()

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headwaykit.llm.history import known_already
+from headwaykit.llm.history import known_already, known_by_batches
 from headwaykit.llm.nearest import nearest_stops
 from headwaykit.llm.quantiles import BASELINE_KEY, deviating_baselines, packed, percentile_columns, summarise, visits_once
 from headwaykit.llm.runs import collapse_runs
+from headwaykit.operators.panes import arrival_batches
+from headwaykit.session import scratch
 from headwaykit.sources.tables import table
 
 
@@ -52,6 +54,12 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return known_already(table(spark, folder, "temp_vehicle_events_stage"), table(spark, folder, "vehicle_event_registry"))
 
 
+def p7_by_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """p7_found by four batches of arrival: each against the points and keys that those before it stored."""
+    batches = arrival_batches(table(spark, folder, "temp_vehicle_events_stage"), 4)
+    return known_by_batches(batches, table(spark, folder, "vehicle_event_registry"), scratch(spark, "points"), scratch(spark, "keys"))
+
+
 QUERIES = {
     "p3_found": p3_found,
     "p3_percentiles": p3_percentiles,
@@ -59,6 +67,7 @@ QUERIES = {
     "p4_collapsed": p4_collapsed,
     "p6_found": p6_found,
     "p7_found": p7_found,
+    "p7_by_batches": p7_by_batches,
 }
 
 _RUNS = """
@@ -125,3 +134,4 @@ near as (
         + cos(radians(a.latitude)) * cos(radians(b.latitude)) * power(sin(radians(b.longitude - a.longitude) / 2), 2)))) <= 50)
 select stage_row from same_key union select stage_row from near""",
 }
+SQL["p7_by_batches"] = SQL["p7_found"]

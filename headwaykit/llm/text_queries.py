@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,7 +42,7 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _classes(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    checkpoint_dir(spark, tempfile.gettempdir())
+    checkpoint_dir(spark)
     return text_classes(documents, "doc_id", "text", LEAST).checkpoint()
 
 

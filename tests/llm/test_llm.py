@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from headwaykit.llm.history import append_points, known_already, pivot_points, stored_points
+from headwaykit.llm.history import append_keys, known_already, known_by_batches, pivot_points
 from headwaykit.llm.mixing import amounts, fair_slots, mix
 from headwaykit.llm.nearest import match_nearest
 from headwaykit.llm.quantiles import error_bound, merge_summaries, packed, percentile_columns, rank_share, summarise
@@ -73,14 +73,15 @@ def event(n, second, status, sequence, vehicle="v", trip="t"):
     return (n, f"{n:064x}", at, vehicle, trip, at, status, sequence)
 
 
-def runs_of(rows, gap=600):
+def runs_of(rows, gap=600, tolerance=0):
     """Plain statement of the rule over one entity's sorted (second, status, sequence)."""
     out, prev = [], None
+    alike = lambda a, b: a is b if a is None or b is None else abs(a - b) <= tolerance
     for t, s, q in rows:
         new = prev is None or t - prev[0] > gap
         s = s if s is not None or new else prev[1]
         q = q if q is not None or new else prev[2]
-        if not new and (s, q) == prev[1:]:
+        if not new and s == out[-1][3] and alike(out[-1][4], q):
             out[-1][1], out[-1][2] = t, out[-1][2] + 1
         else:
             out.append([t, t, 1, s, q])
@@ -117,6 +118,27 @@ def test_runs_within_a_tolerance_and_of_dirty_tables(spark):
     assert collapse_runs(df.withColumns({"t": F.lit(1), "n": F.lit(2), "day": F.lit(3), "part": F.lit(4)})).count() == 3
 
 
+@pytest.mark.parametrize("tolerance", [0, 1, 2])
+def test_runs_do_not_depend_on_the_cut(spark, tolerance):
+    rng = random.Random(tolerance)
+    rows, want, n = [], [], 0
+    for v in range(5):
+        t, q, own = 0, 5, []
+        for _ in range(150):
+            t += rng.choice((1, 5, 10, 10, 40)) + (700 if rng.random() < 0.02 else 0)
+            q += rng.choice((0, 0, 0, 1, 1, -1)) + (5 if rng.random() < 0.02 else 0)
+            n += 1
+            seen = (t, None if rng.random() < 0.05 else 1 + (rng.random() < 0.05), None if rng.random() < 0.1 else q)
+            own.append(seen)
+            rows.append(event(n, *seen, f"v{v}"))
+        want += [(f"v{v}", *r) for r in runs_of(own, tolerance=tolerance)]
+    zero = int(START.timestamp()) * 1_000_000
+    df = spark.createDataFrame(rows, EVENTS)
+    for chunk in (7, 30, 600, 21_600):
+        got = [(r.vehicle_id, (r.t0 - zero) // 1_000_000, (r.t1 - zero) // 1_000_000, r.n, r.status, r.sequence) for r in collapse_runs(df, sequence_tolerance=tolerance, chunk_s=chunk).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str), chunk
+
+
 # --- nearest
 
 
@@ -186,14 +208,18 @@ def test_history_against_brute_force_and_batch_by_batch(spark, tmp_path):
     cuts = [0, 100, 180, 300]
     while any(rows[c][2] == rows[c - 1][2] for c in cuts[1:-1]):
         cuts = [c if c in (0, 300) or rows[c][2] != rows[c - 1][2] else c + 1 for c in cuts]
-    path, got, keys = str(tmp_path / "points"), set(), reg
-    for a, b in zip(cuts, cuts[1:]):
-        batch = spark.createDataFrame(rows[a:b], STAGE)
-        known = stored_points(spark, path, batch) if a else None
-        got |= {r.stage_row for r in known_already(batch, keys, known).collect()}
-        append_points(batch, path)
-        keys = spark.createDataFrame([(k,) for k in registry] + [(r[1],) for r in rows[:b]], "event_key string")
-    assert got == want
+    got = known_by_batches([spark.createDataFrame(rows[a:b], STAGE) for a, b in zip(cuts, cuts[1:])], reg, str(tmp_path / "points"), str(tmp_path / "keys"))
+    assert {r.stage_row for r in got.collect()} == want
+
+
+def test_stored_keys_of_any_spelling_are_met_again(spark, tmp_path):
+    path = str(tmp_path / "keys")
+    keys = ["legacy-key-1", "ab" * 32, "  Plain Text ", "x", "", None, "deadbeef"]
+    row = lambda n, k: (n, k, START + timedelta(minutes=n), None, None, None, None, None)
+    append_keys(spark.createDataFrame([row(i, k) for i, k in enumerate(keys)], STAGE), path)
+    again = ["LEGACY-KEY-1 ", "sha256:" + "AB" * 32, "plain text", "X", " ", None, "DeadBeef", "new"]
+    batch = spark.createDataFrame([row(100 + i, k) for i, k in enumerate(again)], STAGE)
+    assert {r.stage_row for r in known_already(batch, spark.read.parquet(path)).collect()} == {100, 101, 102, 103, 104, 106}
 
 
 def test_history_of_copies_and_empty_tables(spark):
