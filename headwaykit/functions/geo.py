@@ -26,6 +26,12 @@ def haversine(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
     return 2 * EARTH_RADIUS_M * math.asin(math.sqrt(min(h, 1.0)))
 
 
+def haversines(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray) -> np.ndarray:
+    a, b = np.radians(lat1), np.radians(lat2)
+    h = np.sin((b - a) / 2) ** 2 + np.cos(a) * np.cos(b) * np.sin(np.radians(lon2 - lon1) / 2) ** 2
+    return 2 * EARTH_RADIUS_M * np.arcsin(np.sqrt(np.minimum(h, 1.0)))
+
+
 def grid_cells(lat: np.ndarray, lon: np.ndarray, edge_m: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(band, row, column) of the grid cell of each position.
 

@@ -49,5 +49,5 @@ def scratch(spark: SparkSession, name: str) -> str:
 def written(rows: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared checkpoint folder and read from there: a cut in the lineage that outlives executors."""
     place = scratch(rows.sparkSession, name)
-    rows.write.parquet(place)
+    rows.write.option("compression", "zstd").parquet(place)
     return rows.sparkSession.read.schema(rows.schema).parquet(place)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from headwaykit.functions.geo import grid_cells, haversine
 from headwaykit.functions.keys import canonical_key, first_arrivals, sieved, with_event_key
 from headwaykit.functions.zones import installed_zones
-from headwaykit.operators.dwell import stops_and_trips, stops_and_trips_of_rows
+from headwaykit.operators.dwell import CELL_EDGE, ChunkEncoder, VehicleStitcher, cell_runs, dwelling, margins, stops_and_trips, stops_and_trips_of_rows
 from headwaykit.operators.panes import apply_batch, arrival_batches, compose_windows, corrected_by_batches, corrected_periods, pane_counts
 from headwaykit.operators.timestamps import Normaliser, to_instants
 
@@ -84,10 +84,104 @@ def test_chunks_equal_one_pass(spark):
         own = sorted((int(r["vehicle_timestamp"].timestamp()) * 1_000_000, r["stage_row"], r["latitude"], r["longitude"]) for r in rows if r["vehicle_id"] == vehicle)
         for kind, a, b in stops_and_trips_of_rows([(t, x, y) for t, _, x, y in own], 75.0, 180_000_000, 1_800_000_000):
             want.append((vehicle, kind, (a - zero) // 1_000_000, (b - zero) // 1_000_000))
-    assert found(spark, rows) == found(spark, rows, chunk_s=1800) == sorted(want)
+    for chunk in (1800, 10_000, 86_400):
+        assert found(spark, rows, chunk_s=chunk) == sorted(want), chunk
     assert len(want) > 50
 
 
+def track(seed, n=600, paces=(0, 0, 0, 5, 20, 80, 100, 140, 200)):
+    """A vehicle that drives, crawls, stands (for long, sometimes), falls silent and is wrongly placed now and then."""
+    rng = random.Random(seed)
+    t, y, rows, pace = 0, 0.0, [], 0
+    for _ in range(n):
+        if rng.random() < 0.05:
+            pace = rng.choice(paces)
+        t += rng.choice((5, 5, 20, 60)) if pace else rng.choice((20, 60, 300))
+        t += 2500 if rng.random() < 0.005 else 0
+        y += pace
+        away = rng.choice((300, rng.uniform(5e5, 3e6))) if rng.random() < 0.03 else 0
+        rows.append((t * 1_000_000, 42 + (y + rng.gauss(0, 8) + away) / 111195, -71 + rng.gauss(0, 8) / 82600))
+    return rows
+
+
+def runs_by_hand(rows):
+    """Which pings are part of a dwell, by the plain rule over cells, ping by ping."""
+    t, lat, lon = (np.array(c) for c in zip(*rows))
+    start, segment, *cell = cell_runs(t, lat, lon, 75 * CELL_EDGE, 1_800_000_000)
+    n = np.diff(np.append(start, len(t)))
+    ends = [(int(t[a]), int(t[b - 1])) for a, b in zip(start, np.append(start[1:], len(t)))]
+    beside = lambda i, j: abs(cell[1][i] - cell[1][j]) <= 1 and (cell[0][i] != cell[0][j] or abs(cell[2][i] - cell[2][j]) <= 1)
+
+    def far(i, way):
+        last, elsewhere, j = i, 0, i + way
+        while 0 <= j < len(n) and segment[j] == segment[i]:
+            if beside(i, j):
+                last, elsewhere = j, 0
+            else:
+                elsewhere += n[j]
+                if elsewhere > 1:
+                    break
+            j += way
+        return last
+
+    stay = [ends[far(i, 1)][1] - ends[far(i, -1)][0] >= 180_000_000 for i in range(len(n))]
+    alone = [0 < i < len(n) - 1 and n[i] == 1 and stay[i - 1] and stay[i + 1] and segment[i - 1] == segment[i + 1] for i in range(len(n))]
+    return start, (segment, *cell), [bool(a or b) for a, b in zip(stay, alone)], t
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_dwells_are_what_the_plain_rule_says(seed):
+    start, cells, want, t = runs_by_hand(track(seed))
+    assert dwelling(start, len(t), t, cells, 180_000_000).tolist() == want
+
+
+def encoded(rows, chunk_us, **more):
+    """The records of a vehicle's chunks, each fed with the pings it sees in uneven batches."""
+    encoder = ChunkEncoder(75.0, 180_000_000, 1_800_000_000, 60.0, chunk_us, **more)
+    seen = sum(margins(180_000_000, 1_800_000_000))
+    for chunk in range((rows[0][0] - seen) // chunk_us, (rows[-1][0] + seen) // chunk_us + 1):
+        part = [r for r in rows if chunk * chunk_us - seen <= r[0] <= (chunk + 1) * chunk_us + seen]
+        if not part:
+            continue
+        encoder.load({name: pa.array(c) for name, c in zip(("t", "latitude", "longitude"), zip(*part))})
+        encoder.start(("v", chunk))
+        for a in range(0, len(part), 37):
+            encoder.feed(a, min(a + 37, len(part)))
+        encoder.finish()
+    return encoder.take()
+
+
+def stitched(batch):
+    stitch = VehicleStitcher(75.0, 180_000_000, 1_800_000_000, 60.0)
+    stitch.start(("v",))
+    batch = pa.Table.from_batches([batch]).sort_by([("t0", "ascending"), ("seq", "ascending")]).combine_chunks().to_batches()[0]
+    stitch.load({name: batch.column(k) for k, name in enumerate(batch.schema.names)})
+    stitch.feed(0, batch.num_rows)
+    stitch.finish()
+    return [(r[1], r[2], r[3]) for r in stitch.rows], [(r[4], r[5]) for r in stitch.rows]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_cuts_change_no_row(seed):
+    rows = track(seed, paces=(0, 0, 0, 120, 140, 200))
+    want = stops_and_trips_of_rows(rows, 75.0, 180_000_000, 1_800_000_000)
+    whole, facts = stitched(encoded(rows, 1 << 50))
+    assert whole == want
+    for hours in (1, 3, 7, 24):
+        got, more = stitched(encoded(rows, hours * 3_600_000_000))
+        assert got == want and [n for _, n in more] == [n for _, n in facts] and all(abs(a - b) < 0.01 for (a, _), (b, _) in zip(more, facts))
+    for held in (50, 200):  # worked off piece by piece
+        assert stitched(encoded(rows, 1 << 50, held=held))[0] == want
+
+
+@pytest.mark.parametrize("metres", [20, 60, 80, 100, 140, 160, 300])
+def test_a_moving_vehicle_melts_into_few_records(metres):
+    rows = [(i * 5_000_000, 42 + i * metres / 111195, -71.0) for i in range(4000)]
+    records = encoded(rows, 86_400_000_000)
+    assert records.num_rows <= 3
+    assert abs(sum(records.column(records.schema.get_field_index("path")).to_pylist()) - 3999 * metres) < 0.01 * 4000 * metres
+
+
 def test_stops_of_dirty_and_empty_tables(spark):
     nulls = [ping(1, None, 0, 0), ping(2, "v", 0, 0, vehicle_timestamp=None), ping(3, "v", 0, 0, latitude=None), ping(4, "v", 0, 0, longitude=float("nan")), ping(5, "v", 0, 0, event_key=None)]
     assert found(spark, nulls) == [] and found(spark, []) == []
