@@ -6,17 +6,22 @@ total, sources that run into their cap give all they may and the rest shares wha
 proportion. Which documents: whole passes over the source and, for the rest, the documents first in a
 hash order. In which order: each source's uses fill blocks, block j of a source of weight w may not
 run before slot floor(j / w) and must by slot ceil((j + 1) / w), and of the blocks that may run the
-one due first runs. At every slot each source is then less than one block from its share.
+one due first runs. At every slot each source is then less than one block from its share. Blocks have a
+fixed size, so a large mix has many; they are scheduled in segments, each by itself, whose borders a formula gives.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
+from functools import partial
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headwaykit.llm.tokens import encode_corpus
-from headwaykit.session import checkpoint_dir
+from headwaykit.session import written
 
 
 def amounts(sizes: dict[str, int], targets: dict[str, tuple[float, int]], total: float | None = None) -> dict[str, float]:
@@ -60,13 +65,35 @@ def fair_slots(blocks: dict[str, int]) -> dict[str, list[int]]:
     return slots
 
 
+def segments_of(blocks: int, segment: int) -> int:
+    return max(1, -(-blocks // segment))
+
+
+def before_segment(n: int, i: int, segments: int) -> int:
+    """How many of a source's n blocks lie before segment i: i / segments of them, to the nearest."""
+    return (2 * i * n + segments) // (2 * segments)
+
+
+def _schedule(batches: Iterator[pa.RecordBatch], blocks: dict[str, int], segments: int) -> Iterator[pa.RecordBatch]:
+    """Segment numbers to (source, block, slot): each segment's blocks by fair_slots, after the slots of those before it."""
+    for batch in batches:
+        for i in batch.column(0).to_pylist():
+            first = {s: before_segment(n, i, segments) for s, n in blocks.items()}
+            slots = fair_slots({s: before_segment(n, i + 1, segments) - first[s] for s, n in blocks.items()})
+            offset = sum(first.values())
+            for s, places in slots.items():
+                if places:
+                    at = pa.array(range(first[s], first[s] + len(places)), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array([s] * len(places), pa.string()), at, pa.array([offset + p for p in places], pa.int64())], names=["source", "_block", "_slot"])
+
+
 def mix(
     documents: DataFrame,
     targets: DataFrame,
     size: str,
     total: float | None = None,
-    max_blocks: int = 32_768,
-    least_block: int = 4_096,
+    block: int = 4_096,
+    segment: int = 1 << 16,
     buckets: int = 1_024,
     seed: int = 7,
 ) -> DataFrame:
@@ -75,9 +102,11 @@ def mix(
     documents: doc_id, source and `size` (a long). targets: source, target_share, max_repeats, one row
     per source, at most 10,000 rows (they are planned on the driver). Documents with a null source, or
     one without target, have 0 uses and null shares. slots has, for each use, the place of its block in
-    the order (blocks are at most max_blocks in all, of least_block at least). Documents of size 0 cost
-    nothing and are used as often as the passes over their source go. A source's size taken is within
-    one document of its amount. An empty table gives no rows.
+    the order. Up to `segment` blocks in all, each source is at every slot less than one block from its share; of
+    more, it is so from the line between its segment's borders, where it is at most half a block and half a
+    slot per source off. Documents of size 0 cost nothing and are used as often as the passes over their source
+    go. A source's size taken is within one document of its amount. Rows given twice are rows of their own.
+    An empty table gives no rows.
     """
     wanted = targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     rows = wanted.limit(10_001).collect()
@@ -91,8 +120,9 @@ def mix(
     sizes = {r["source"]: int(r["s"]) for r in per_bucket.groupBy("source").agg(F.sum("_size").alias("s")).collect()}
     take = amounts(sizes, plan, total)
     spark = documents.sparkSession
-    block = max(least_block, -(-int(sum(take.values())) // max_blocks))
-    slots = fair_slots({s: -(-int(a + 0.5) // block) for s, a in take.items()})
+    blocks = {s: -(-int(a + 0.5) // block) for s, a in take.items()}
+    segments = segments_of(sum(blocks.values()), segment)
+    slots = spark.range(segments).repartition(min(segments, 4096)).mapInArrow(partial(_schedule, blocks=blocks, segments=segments), "source string, _block long, _slot long")
     passes = {s: min(plan[s][1], int(take[s] // sizes[s])) if sizes.get(s) else 0 for s in plan}
     facts = spark.createDataFrame(
         [(s, plan[s][0], sizes.get(s, 0), passes[s], take[s] - passes[s] * sizes.get(s, 0) if passes[s] < plan[s][1] else 0.0) for s in plan],
@@ -108,20 +138,24 @@ def mix(
         .withColumn("_extra", (F.col("_at") + F.col("size") / 2.0 < F.col("_rest")).cast("int"))
         .withColumn("uses", F.col("_passes") + F.col("_extra"))
     )
-    table = spark.createDataFrame([(s, places) for s, places in slots.items()], "source string, _slots array<int>")
     shared = placed.groupBy("source").agg(F.sum(F.col("uses") * F.col("size")).alias("_used"))
     whole = F.sum("_used").over(Window.partitionBy(F.lit(1)))  # over a row per target
     shares = shared.select("source", F.try_divide("_used", whole).alias("actual_share"))
-    block_of = lambda u: F.floor((u * F.col("_total") + F.col("_at")) / F.lit(block)).cast("int")
-    slot_of = lambda u: F.element_at(F.col("_slots"), F.least(block_of(u) + 1, F.size("_slots")))
-    uses = F.when(F.col("uses") > 0, F.transform(F.sequence(F.lit(0), F.col("uses") - 1), lambda u: F.when(F.size("_slots") > 0, slot_of(u))))
+    # A row per use meets its block's slot; a row per document and use count comes back.
+    row = ["_row", "doc_id", "source", "size", "uses", "target_share"]
+    numbered = placed.withColumn("_row", F.monotonically_increasing_id())
+    counts = spark.createDataFrame(list(blocks.items()), "source string, _blocks long")
+    each = numbered.withColumn("_use", F.explode_outer(F.when(F.col("uses") > 0, F.sequence(F.lit(0), F.col("uses") - 1)))).join(F.broadcast(counts), "source")  # a row per target
+    at = F.least(F.floor((F.col("_use") * F.col("_total") + F.col("_at")) / F.lit(block)).cast("long"), F.col("_blocks") - 1)
+    met = each.withColumn("_block", at).join(slots, ["source", "_block"], "left")
+    use = F.when(F.col("_use").isNotNull(), F.struct("_use", "_slot"))
     known = (
-        placed.join(F.broadcast(shares), "source", "left")  # a row per target
-        .join(F.broadcast(table), "source", "left")  # max_blocks numbers in all
-        .select("doc_id", "source", "size", "uses", F.coalesce(uses, F.array().cast("array<int>")).alias("slots"), "target_share", "actual_share")
+        met.groupBy(*row).agg(F.transform(F.sort_array(F.collect_list(use)), lambda u: u["_slot"]).alias("slots"))  # max_repeats at most
+        .join(F.broadcast(shares), "source", "left")  # a row per target
+        .select("doc_id", "source", "size", "uses", "slots", "target_share", "actual_share")
     )
     other = base.where(~F.coalesce(F.col("source").isin(list(plan)), F.lit(False))).select(
-        "doc_id", "source", "size", F.lit(0).alias("uses"), F.array().cast("array<int>").alias("slots"),
+        "doc_id", "source", "size", F.lit(0).alias("uses"), F.array().cast("array<bigint>").alias("slots"),
         F.lit(None).cast("double").alias("target_share"), F.lit(None).cast("double").alias("actual_share"),
     )
     return known.unionByName(other)
@@ -135,7 +169,6 @@ def targeted_size(documents: DataFrame, targets: DataFrame, size: str) -> int:
 
 def counted(documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id, source, size in tokens; written to the checkpoint folder, since the mix reads it several times."""
-    checkpoint_dir(documents.sparkSession)
     keyed = documents.select(F.struct("doc_id", "source").alias("_id"), "text")
     tokens = encode_corpus(keyed, "_id", vocabulary=vocabulary, counts=True)
-    return tokens.select("_id.doc_id", "_id.source", F.col("ids").alias("size")).checkpoint()
+    return written(tokens.select("_id.doc_id", "_id.source", F.col("ids").alias("size")), "counts")

@@ -5,12 +5,15 @@ at most the least length, so any two occurrences of a passage of that length sha
 same place in it. Anchors whose hash occurs in one document only are dropped before any text moves. The
 others meet by hash, with just the text around them: a passage of which an anchor is known ends less
 than `window` code points beyond its outermost anchors, so extending each pair of anchors by that much
-and joining what overlaps on one diagonal gives the maximal repeats exactly. Exact copies of a text are
+and joining what overlaps on one diagonal gives the maximal repeats exactly. How much of a document is
+shared needs no pairs: anchors with equal surroundings are counted as one class, and of those that stand alone it is
+asked how far some other class of the same anchor goes along with them. Exact copies of a text are
 represented by one of them throughout.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import partial
 
@@ -19,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from headwaykit.session import written
+
 K, WINDOW = 200, 41
 BLOCK = 1 << 20  # code points hashed at once
 MULTIPLIER = 0x9E3779B97F4A7C15
@@ -133,7 +138,7 @@ def groups_of(texts: list[str], block: int, reach: int) -> Iterator[list[tuple[i
 
 
 ANCHOR = "hash long, doc long, place int, run int, step int"
-CONTEXT = ANCHOR + ", left string, gram string, right string"
+CONTEXT = ANCHOR + ", check long, left string, right string, period string"
 
 
 def anchor_table(texts: list[str], hasher: Hasher, k: int, window: int, block: int = BLOCK) -> tuple[np.ndarray, ...]:
@@ -175,13 +180,18 @@ def stretch(text: str, place: int, run: int, k: int, window: int) -> tuple[int,
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], k: int, margin: int) -> Iterator[pa.RecordBatch]:
-    """Rows (doc, text, seeds) to one row per seed with its gram and what stands beside it (left: read backwards)."""
+    """Rows (doc, text, seeds) to one row per seed with what stands beside its gram (left: read backwards).
+
+    check is a second hash of the gram, of another kind, so that together 128 bits tell grams apart; period is what a
+    periodic stretch repeats.
+    """
     for batch in batches:
         rows: list[tuple] = []
         for doc, text, seeds in zip(*(batch.column(i).to_pylist() for i in range(3))):
             for h, p, run, step in sorted({(seed["hash"], *stretch(text, seed["place"], seed["run"], k, margin + 1)) for seed in seeds}):
                 end = p + run + k
-                rows.append((h, doc, p, run, step, text[max(0, p - margin) : p][::-1], text[p : p + k], text[end : end + margin]))
+                check = int.from_bytes(hashlib.blake2b(text[p : p + k].encode(), digest_size=8).digest(), "big", signed=True)
+                rows.append((h, doc, p, run, step, check, text[max(0, p - margin) : p][::-1], text[end : end + margin], text[p : p + step] if step else None))
             if len(rows) > 20_000:
                 yield _context_batch(rows)
                 rows = []
@@ -190,8 +200,8 @@ def _contexts(batches: Iterator[pa.RecordBatch], k: int, margin: int) -> Iterato
 
 
 def _context_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string())
-    names = ["hash", "doc", "place", "run", "step", "left", "gram", "right"]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string())
+    names = ["hash", "doc", "place", "run", "step", "check", "left", "right", "period"]
     return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), kinds)], names=names)
 
 
@@ -209,7 +219,18 @@ def _common(a: str, b: str) -> int:
     return low
 
 
-def alignments(short: tuple, long: tuple, gram: str, k: int, margin: int) -> Iterator[tuple[int, int, int, int]]:
+def beside(stretch: tuple, offset: int, core: int, period: str, k: int, margin: int) -> tuple[str, str]:
+    """What stands left (read backwards) and right of the grams from offset to offset + core of a periodic stretch (run, step, left, right)."""
+    run, _, left, right = stretch
+    step = len(period)
+    before = (period * (min(offset, margin) // step + 1))[::-1][: min(offset, margin)]
+    rest = min(run - offset - core, margin)
+    turn = (offset + core + k) % step
+    after = (period * (rest // step + 2))[turn : turn + rest]
+    return (before + left)[:margin], (after + right)[:margin]
+
+
+def alignments(short: tuple, long: tuple, period: str, k: int, margin: int) -> Iterator[tuple[int, int, int, int]]:
     """(offset in short, offset in long, left, right): how far the repeats of two periodic stretches reach.
 
     short and long are (run, step, left, right). The short stretch is laid on the first and the last place
@@ -217,24 +238,14 @@ def alignments(short: tuple, long: tuple, gram: str, k: int, margin: int) -> Ite
     is left of a period at the other's edge finds its like. Which repeats there are besides, and they are
     many, all lie within these.
     """
-    step = min(x[1] for x in (short, long) if x[1])
-    period = gram[:step]
-
-    def beside(stretch: tuple, offset: int, core: int) -> tuple[str, str]:
-        run, _, left, right = stretch
-        before = (period * (min(offset, margin) // step + 1))[::-1][: min(offset, margin)]
-        rest = min(run - offset - core, margin)
-        turn = (offset + core + k) % step
-        after = (period * (rest // step + 2))[turn : turn + rest]
-        return (before + left)[:margin], (after + right)[:margin]
-
+    step = len(period)
     run, whole = short[0], long[0]
     stride = (run + k) // step * step
     for shift in dict.fromkeys([-step, 0, *range(stride, whole - run, stride), whole - run, whole - run + step]):
         a, b = max(0, -shift), max(0, shift)
         core = min(run - a, whole - b)
         if core >= 0:
-            (left_a, right_a), (left_b, right_b) = beside(short, a, core), beside(long, b, core)
+            (left_a, right_a), (left_b, right_b) = (beside(x, at, core, period, k, margin) for x, at in ((short, a), (long, b)))
             yield a, b, _common(left_a, left_b), core + _common(right_a, right_b)
 
 
@@ -242,15 +253,16 @@ def _extend(batches: Iterator[pa.RecordBatch], k: int, margin: int) -> Iterator[
     """Pairs of seeds to repeats (doc_a, doc_b, diagonal, start_a, end_a)."""
     for batch in batches:
         out: list[tuple[int, int, int, int, int]] = []
-        for a, b, p, q, run_a, run_b, step_a, step_b, left_a, left_b, right_a, right_b, gram in zip(*(c.to_pylist() for c in batch.columns)):
+        for a, b, p, q, run_a, run_b, step_a, step_b, left_a, left_b, right_a, right_b, period_a, period_b in zip(*(c.to_pylist() for c in batch.columns)):
             if not run_a and not run_b:
                 out.append((a, b, p - q, p - _common(left_a, left_b), p + k + _common(right_a, right_b)))
                 continue
+            period = min(filter(None, (period_a, period_b)), key=len)
             one, two = (run_a, step_a, left_a, right_a), (run_b, step_b, left_b, right_b)
             if run_a <= run_b:
-                found = ((p + x, q + y, left, right) for x, y, left, right in alignments(one, two, gram, k, margin))
+                found = ((p + x, q + y, left, right) for x, y, left, right in alignments(one, two, period, k, margin))
             else:
-                found = ((p + y, q + x, left, right) for x, y, left, right in alignments(two, one, gram, k, margin))
+                found = ((p + y, q + x, left, right) for x, y, left, right in alignments(two, one, period, k, margin))
             out += [(a, b, at_a - at_b, at_a - left, at_a + k + right) for at_a, at_b, left, right in found]
         if out:
             names = ["doc_a", "doc_b", "diagonal", "start_a", "end_a"]
@@ -264,28 +276,36 @@ def text_classes(documents: DataFrame, id_column: str, text: str, least: int) ->
     return long.join(reps, "_text").select("doc", "rep")
 
 
-def shared_spans(documents: DataFrame, classes: DataFrame, id_column: str = "doc_id", text: str = "text", least: int = 240, k: int = K, window: int = WINDOW) -> DataFrame:
-    """Maximal repeats between representatives: doc_a < doc_b, start_a, start_b, length (code points, at least `least`).
+def seed_contexts(documents: DataFrame, classes: DataFrame, id_column: str = "doc_id", text: str = "text", k: int = K, window: int = WINDOW) -> DataFrame:
+    """The anchors that several representatives have, with what stands beside them; written, since its readers read it more than once.
 
-    classes: of text_classes. k + window - 1 must not exceed `least`, nor window k. Texts are compared as
-    they stand. Null, empty and short texts share nothing; repeats inside one document are none.
+    classes: of text_classes, with k + window - 1 as the least length. Texts are compared as they stand.
     """
-    if k + window - 1 > least or window > k:
-        raise ValueError("k + window - 1 must not exceed the least length, nor window k")
+    if window > k:
+        raise ValueError("window must not exceed k")
     reps = classes.where("doc = rep").select("doc")
     # Ids repeat only if rows do; one row of each is enough.
-    texts = documents.select(F.col(id_column).cast("long").alias("doc"), F.make_valid_utf8(text).alias("text")).where(F.char_length("text") >= least)
+    texts = documents.select(F.col(id_column).cast("long").alias("doc"), F.make_valid_utf8(text).alias("text")).where(F.char_length("text") >= k + window - 1)
     used = texts.join(reps, "doc", "left_semi").dropDuplicates(["doc"])
-    # Read twice below: written once to the checkpoint folder rather than hashed again.
-    anchors = used.mapInArrow(partial(_anchors, k=k, window=window), ANCHOR).checkpoint()
+    anchors = written(used.mapInArrow(partial(_anchors, k=k, window=window), ANCHOR), "anchors")
     repeated = anchors.groupBy("hash").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("hash")
     seeds = anchors.join(repeated, "hash", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("hash", "place", "run", "step")).alias("seeds"))
     # collect_list is bounded by the document's own length.
-    around = used.join(seeds, "doc").select("doc", "text", "seeds").mapInArrow(partial(_contexts, k=k, margin=window - 1), CONTEXT).checkpoint()
-    x, y = around.alias("x"), around.alias("y")
-    both = [F.col(f"{side}.{c}").alias(f"{c}_{side}") for c in ("doc", "place", "run", "step", "left", "right") for side in "xy"]
-    same = (F.col("x.hash") == F.col("y.hash")) & (F.col("x.doc") < F.col("y.doc")) & (F.col("x.gram") == F.col("y.gram"))
-    met = x.join(y, same).select(*both, F.col("x.gram").alias("gram"))
+    return written(used.join(seeds, "doc").select("doc", "text", "seeds").mapInArrow(partial(_contexts, k=k, margin=window - 1), CONTEXT), "contexts")
+
+
+def shared_spans(contexts: DataFrame, least: int = 240, k: int = K, window: int = WINDOW) -> DataFrame:
+    """Maximal repeats between representatives: doc_a < doc_b, start_a, start_b, length (code points, at least `least`).
+
+    contexts: of seed_contexts with the same k and window; k + window - 1 must not exceed `least`. Null, empty
+    and short texts share nothing; repeats inside one document are none.
+    """
+    if k + window - 1 > least:
+        raise ValueError("k + window - 1 must not exceed the least length")
+    x, y = contexts.alias("x"), contexts.alias("y")
+    both = [F.col(f"{side}.{c}").alias(f"{c}_{side}") for c in ("doc", "place", "run", "step", "left", "right", "period") for side in "xy"]
+    same = (F.col("x.hash") == F.col("y.hash")) & (F.col("x.check") == F.col("y.check")) & (F.col("x.doc") < F.col("y.doc"))
+    met = x.join(y, same).select(*both)
     pieces = met.mapInArrow(partial(_extend, k=k, margin=window - 1), "doc_a long, doc_b long, diagonal long, start_a long, end_a long")
     line = Window.partitionBy("doc_a", "doc_b", "diagonal").orderBy("start_a", "end_a")
     reach = F.max("end_a").over(line.rowsBetween(Window.unboundedPreceding, -1))
@@ -296,6 +316,56 @@ def shared_spans(documents: DataFrame, classes: DataFrame, id_column: str = "doc
     )
 
 
+def _occurrences(batches: Iterator[pa.RecordBatch], k: int, margin: int) -> Iterator[pa.RecordBatch]:
+    """Contexts to (hash, check, doc, first, last, left, right): the places of a gram; one row for those inside a periodic stretch, which have equal surroundings."""
+    names = ["hash", "check", "doc", "first", "last", "left", "right"]
+    for batch in batches:
+        rows: list[tuple] = []
+        for h, doc, p, run, step, check, left, right, period in zip(*(c.to_pylist() for c in batch.columns)):
+            if not run:
+                rows.append((h, check, doc, p, p, left, right))
+                continue
+            turns, near = run // step, -(-margin // step)
+            inner = range(near, turns - near + 1)
+            for i in [*range(min(near, turns + 1)), *inner[:1], *range(max(near, turns - near + 1), turns + 1)]:
+                last = inner[-1] if len(inner) and i == near else i
+                rows.append((h, check, doc, p + i * step, p + last * step, *beside((run, step, left, right), i * step, 0, period, k, margin)))
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.string() if n in ("left", "right") else pa.int64()) for c, n in zip(list(zip(*rows)) or [[]] * 7, names)], names=names)
+
+
+def shared_stretches(contexts: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame:
+    """(doc, s, e): stretches of representatives that together are all that they share, in runs of at least k + window - 1, with others.
+
+    No pairs: a stretch of that length has an anchor at the same place in it wherever it occurs. Anchors with
+    equal surroundings are a class; where its members are of several documents, all around them is shared. A class
+    of one document is shared as far as another class of the same anchor has the same `a` code points before and
+    the same window - 1 - a after it, for some a. Both are aggregates, so a passage in n documents costs n rows.
+    Surroundings are told apart by 128 bits of hash.
+    """
+    margin = window - 1
+    fields = "hash long, check long, doc long, first long, last long, left string, right string"
+    places = contexts.select("hash", "doc", "place", "run", "step", "check", "left", "right", "period").mapInArrow(partial(_occurrences, k=k, margin=margin), fields)
+    around = [F.xxhash64(F.lit(seed), "left", F.lit("|"), "right").alias(f"c{seed}") for seed in (1, 2)]
+    key = ["hash", "check", "c1", "c2"]
+    placed = written(places.select("hash", "check", *around, "doc", "first", "last", "left", "right"), "places")
+    classes = placed.groupBy(*key).agg(
+        F.min("doc").alias("a"), F.max("doc").alias("b"), F.first("left").alias("left"), F.first("right").alias("right")
+    )  # any member's texts: they are equal
+    low, high = F.lit(margin) - F.char_length("right"), F.char_length("left")
+    whole = classes.where((F.col("a") < F.col("b")) & (low <= high)).select(*key, low.alias("least"), high.alias("most"))
+    several = classes.groupBy("hash", "check").agg(F.count("*").alias("n")).where("n > 1").select("hash", "check")
+    asked = classes.join(several, ["hash", "check"], "left_semi").where(low <= high).withColumn("at", F.explode(F.sequence(low, high)))
+    part = F.concat(F.left("left", F.col("at")), F.lit("|"), F.left("right", F.lit(margin) - F.col("at")))
+    views = asked.select(*key, "a", "b", "at", *[F.xxhash64(F.lit(seed), part).alias(f"w{seed}") for seed in (3, 4)])
+    view = ["hash", "check", "at", "w3", "w4"]
+    met = views.groupBy(*view).agg(F.min("a").alias("a"), F.max("b").alias("b")).where("a < b").select(*view)
+    single = views.where("a = b").join(met, view, "left_semi").groupBy(*key).agg(F.min("at").alias("least"), F.max("at").alias("most"))
+    spans = whole.unionByName(single)
+    return placed.select(*key, "doc", "first", "last").join(spans, key).select(
+        "doc", (F.col("first") - F.col("most")).alias("s"), (F.col("last") + (k + margin) - F.col("least")).alias("e")
+    )
+
+
 def sharing_pairs(spans: DataFrame, classes: DataFrame) -> DataFrame:
     """All pairs doc_a < doc_b of documents that share a span, exact copies included."""
     pairs = spans.select("doc_a", "doc_b").distinct()
@@ -307,14 +377,12 @@ def sharing_pairs(spans: DataFrame, classes: DataFrame) -> DataFrame:
     return across.unionByName(within).select(F.least("x", "y").alias("doc_a"), F.greatest("x", "y").alias("doc_b"))
 
 
-def shared_amounts(documents: DataFrame, spans: DataFrame, classes: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def shared_amounts(documents: DataFrame, stretches: DataFrame, classes: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_chars, shared_chars, copies for every document: how much of it stands in other documents too.
 
-    Overlapping spans count once; a text that another document has as a whole is shared as a whole.
+    Overlapping stretches count once; a text that another document has as a whole is shared as a whole.
     """
-    sides = spans.select(F.col("doc_a").alias("doc"), F.col("start_a").alias("s"), (F.col("start_a") + F.col("length")).alias("e")).unionByName(
-        spans.select(F.col("doc_b").alias("doc"), F.col("start_b").alias("s"), (F.col("start_b") + F.col("length")).alias("e"))
-    ).distinct()
+    sides = stretches.select("doc", "s", "e").distinct()
     line = Window.partitionBy("doc").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
     covered = sides.withColumn("_until", F.coalesce(F.max("e").over(line), F.lit(0))).groupBy("doc").agg(
         F.sum(F.greatest(F.col("e") - F.greatest("s", "_until"), F.lit(0))).alias("covered")

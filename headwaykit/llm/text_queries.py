@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headwaykit.llm.mixing import counted, mix, targeted_size
-from headwaykit.llm.spans import shared_amounts, shared_spans, sharing_pairs, text_classes
+from headwaykit.llm.spans import seed_contexts, shared_amounts, shared_spans, shared_stretches, sharing_pairs, text_classes
 from headwaykit.llm.tokens import encode_corpus
-from headwaykit.session import checkpoint_dir
+from headwaykit.session import written
 from headwaykit.sources.tables import table
 
 LEAST = 240
@@ -16,11 +16,20 @@ LEAST = 240
 #: Longer texts are cut for p8_ids: short enough that the long tail of the documents (4 to 6 %) is.
 PIECE_CHARS = 2_048
 
+#: Parts of unsplit runs in p8_unsplit, short enough that most documents have several.
+RUN_CHARS = 256
+
 
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(table(spark, folder, "documents"), piece_chars=PIECE_CHARS)
 
 
+def p8_unsplit(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of each document's letters in one row, without anything between: runs that the tokenizer never splits, put together by tree concatenation."""
+    letters = table(spark, folder, "documents").select("doc_id", F.regexp_replace(F.make_valid_utf8("text"), r"\P{L}+", "").alias("text"))
+    return encode_corpus(letters, piece_chars=RUN_CHARS)
+
+
 def p9_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Uses of each document, where its uses stand in the order, and its source's shares; as many tokens in all as the targeted documents have."""
     documents, targets = counted(table(spark, folder, "documents")), table(spark, folder, "mix_targets")
@@ -41,22 +50,46 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _classes(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    checkpoint_dir(spark)
-    return text_classes(documents, "doc_id", "text", LEAST).checkpoint()
+def _classes(documents: DataFrame) -> DataFrame:
+    return written(text_classes(documents, "doc_id", "text", LEAST), "classes")
 
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
-    classes = _classes(spark, documents)
-    return sharing_pairs(shared_spans(documents, classes, least=LEAST), classes)
+    classes = _classes(documents)
+    return sharing_pairs(shared_spans(seed_contexts(documents, classes), least=LEAST), classes)
 
 
 def p10_shared(spark: SparkSession, folder: str) -> DataFrame:
+    """How much of each document stands in others; linear in the documents, however many share a passage."""
     documents = table(spark, folder, "documents")
-    classes = _classes(spark, documents)
-    return shared_amounts(documents, shared_spans(documents, classes, least=LEAST), classes)
-
-
-QUERIES = {"p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_shared": p10_shared}
-SQL: dict[str, str] = {}
+    classes = _classes(documents)
+    return shared_amounts(documents, shared_stretches(seed_contexts(documents, classes)), classes)
+
+
+def p10_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """The class of exact copies of each document with at least LEAST code points; p10_found's pairs hold between classes."""
+    return text_classes(table(spark, folder, "documents"), "doc_id", "text", LEAST).select(F.col("doc").alias("doc_id"), F.col("rep").alias("class_id"))
+
+
+QUERIES = {"p8_ids": p8_ids, "p8_unsplit": p8_unsplit, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_shared": p10_shared, "p10_classes": p10_classes}
+#: Every run of LEAST code points of every text, by its content.
+_WINDOWS = f"""
+with texts as (select doc_id, text, length(text) as n from documents where length(text) >= {LEAST}),
+spots as (select doc_id, unnest(generate_series(1, n - {LEAST} + 1)) as i, text from texts),
+windows as (select doc_id, i, md5(substr(text, i, {LEAST})) as w from spots),
+shared as (select w from windows group by w having count(distinct doc_id) > 1)
+"""
+
+SQL: dict[str, str] = {
+    "p10_found": _WINDOWS + """,
+held as (select distinct w, doc_id from windows where w in (select w from shared))
+select distinct x.doc_id as doc_a, y.doc_id as doc_b from held x join held y on x.w = y.w and x.doc_id < y.doc_id""",
+    "p10_shared": _WINDOWS + f""",
+starts as (select doc_id, i, lead(i) over (partition by doc_id order by i) as next from windows where w in (select w from shared)),
+covered as (select doc_id, sum(least({LEAST}, coalesce(next - i, {LEAST}))) as c from starts group by doc_id),
+copies as (select doc_id, count(*) over (partition by text) - 1 as k from texts)
+select d.doc_id, coalesce(length(d.text), 0) as n_chars, coalesce(c, 0)::bigint as shared_chars, coalesce(k, 0) as copies
+from documents d left join covered using (doc_id) left join copies using (doc_id)""",
+    "p10_classes": f"select doc_id, min(doc_id) over (partition by text) as class_id from documents where length(text) >= {LEAST}",
+}

@@ -5,15 +5,16 @@ from collections import defaultdict
 from datetime import datetime, timedelta, timezone
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from headwaykit.llm.history import append_keys, known_already, known_by_batches, pivot_points
-from headwaykit.llm.mixing import amounts, fair_slots, mix
+from headwaykit.llm.mixing import _schedule, amounts, fair_slots, mix, segments_of
 from headwaykit.llm.nearest import match_nearest
 from headwaykit.llm.quantiles import error_bound, merge_summaries, packed, percentile_columns, rank_share, summarise
 from headwaykit.llm.runs import collapse_runs
-from headwaykit.llm.spans import Hasher, anchor_table, shared_amounts, shared_spans, sharing_pairs, text_classes
+from headwaykit.llm.spans import Hasher, anchor_table, seed_contexts, shared_amounts, shared_spans, shared_stretches, sharing_pairs, text_classes
 from headwaykit.llm.tokens import encode_corpus, encode_long, encoder, vocabulary_file
 
 START = datetime(2026, 3, 1, 20, 0, tzinfo=timezone.utc)
@@ -296,12 +297,44 @@ def test_fair_slots_stay_within_a_block():
         assert (np.abs(np.cumsum(done) - n / total * np.arange(total + 1)) < 1).all()
 
 
+@pytest.mark.parametrize("segment", [7, 40, 1000])
+def test_segments_give_every_slot_once_and_stay_near_the_shares(segment):
+    blocks = {"a": 570, "b": 310, "c": 110, "d": 1, "e": 0, "f": 9}
+    segments = segments_of(1000, segment)
+    ids = pa.RecordBatch.from_arrays([pa.array(range(segments), pa.int64())], names=["id"])
+    rows = [r for part in _schedule(iter([ids]), blocks, segments) for r in part.to_pylist()]
+    assert sorted(r["_slot"] for r in rows) == list(range(1000))
+    for s, n in blocks.items():
+        own = sorted((r["_block"], r["_slot"]) for r in rows if r["source"] == s)
+        assert [b for b, _ in own] == list(range(n)) and [x for _, x in own] == sorted(x for _, x in own)
+        done = np.zeros(1001)
+        done[[x + 1 for _, x in own]] = 1
+        off = np.abs(np.cumsum(done) - n / 1000 * np.arange(1001)).max()
+        assert off < (1 if segments == 1 else 1.5 + len(blocks) / 2 * n / 1000)
+
+
+def test_uses_lie_in_their_blocks_in_segments_as_in_one(spark):
+    docs = [(i % 900, "ab"[i % 3 == 0], 30 + i % 40) for i in range(1000)]  # some rows twice
+    df = spark.createDataFrame(docs, "doc_id long, source string, size long")
+    targets = spark.createDataFrame([("a", 0.5, 2), ("b", 0.5, 2)], "source string, target_share double, max_repeats int")
+    plain = mix(df, targets, "size", block=500).collect()
+    cut = mix(df, targets, "size", block=500, segment=20).collect()
+    assert len(plain) == len(cut) == 1000 and sorted((r.doc_id, r.uses) for r in plain) == sorted((r.doc_id, r.uses) for r in cut)
+    for rows in (plain, cut):
+        size = defaultdict(int)
+        for r in rows:
+            assert len(r.slots) == r.uses and list(r.slots) == sorted(r.slots)
+            for x in r.slots:
+                size[x] += r.size
+        assert sorted(size) == list(range(len(size))) and all(300 < n <= 500 + 70 for x, n in sorted(size.items())[:-4])
+
+
 def test_mix(spark):
     random.seed(8)
     docs = [(i, random.choice(("a", "a", "a", "b", "c", None, "other")), random.choice((0, 10, 50, None))) for i in range(3000)]
     df = spark.createDataFrame(docs, "doc_id long, source string, size long").withColumns({"slots": F.lit(1), "_order": F.lit(2)})
     targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.3, 2), ("c", 0.15, 3), ("gone", 0.05, 2)], "source string, target_share double, max_repeats int")
-    rows = mix(df, targets, "size", least_block=100).collect()
+    rows = mix(df, targets, "size", block=100).collect()
     assert len(rows) == len(docs) and all(len(r.slots) == r.uses for r in rows)
     used = defaultdict(int)
     for r in rows:
@@ -340,7 +373,7 @@ def test_spans_against_brute_force(spark, k, window):
     least, docs = 60, corpus()
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumns({"doc": F.lit(1), "hash": F.lit(2), "rep": F.lit(3)})
     classes = text_classes(df, "doc_id", "text", least)
-    spans = shared_spans(df, classes, least=least, k=k, window=window).cache()
+    spans = shared_spans(seed_contexts(df, classes, k=k, window=window), least=least, k=k, window=window).cache()
     pairs, seen = brute_pairs(docs, least)
     got = [(r.doc_a, r.doc_b) for r in sharing_pairs(spans, classes).collect()]
     assert len(got) == len(set(got)) and set(got) == pairs
@@ -353,19 +386,32 @@ def test_spans_against_brute_force(spark, k, window):
         assert end_a == len(a) or end_b == len(b) or a[end_a] != b[end_b]
 
 
-def test_shared_amounts_against_brute_force(spark):
+@pytest.mark.parametrize("k,window", [(40, 21), (31, 30)])
+def test_shared_amounts_against_brute_force(spark, k, window):
     least = 60
-    docs = [(i, t) for i, t in corpus() if i not in (104, 105, 106)]
+    docs = corpus()
     df = spark.createDataFrame(docs, "doc_id long, text string")
     classes = text_classes(df, "doc_id", "text", least)
-    got = {r.doc_id: r.shared_chars for r in shared_amounts(df, shared_spans(df, classes, least=least, k=40, window=21), classes).collect()}
+    contexts = seed_contexts(df, classes, k=k, window=window)
+    got = {r.doc_id: r.shared_chars for r in shared_amounts(df, shared_stretches(contexts, k, window), classes).collect()}
     _, seen = brute_pairs(docs, least)
     for i, t in docs:
         covered = np.zeros(len(t or ""), dtype=bool)
         for j in range(len(t or "") - least + 1):
             if len(seen[t[j : j + least]]) > 1:
                 covered[j : j + least] = True
-        assert got[i] == covered.sum()
+        assert got[i] == covered.sum(), i
+
+
+def test_one_passage_in_ten_thousand_documents(spark):
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = word(400)
+    docs = [(i, word(rng.randrange(0, 90)) + passage + word(rng.randrange(0, 90))) for i in range(10_000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+    classes = text_classes(df, "doc_id", "text", 240)
+    rows = shared_amounts(df, shared_stretches(seed_contexts(df, classes)), classes).collect()
+    assert len(rows) == 10_000 and all(400 <= r.shared_chars <= 430 for r in rows)
 
 
 def test_gram_hashes_do_not_depend_on_their_place():
@@ -412,5 +458,6 @@ def test_anchors_of_many_texts_equal_those_of_each(block):
 def test_spans_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     classes = text_classes(df, "doc_id", "text", 240)
-    spans = shared_spans(df, classes)
-    assert spans.count() == 0 and sharing_pairs(spans, classes).count() == 0
+    contexts = seed_contexts(df, classes)
+    spans = shared_spans(contexts)
+    assert spans.count() == 0 and sharing_pairs(spans, classes).count() == 0 and shared_stretches(contexts).count() == 0

@@ -40,3 +40,12 @@ def test_long_documents_are_cut_and_have_the_tokenizers_ids(spark, monkeypatch):
         enc = tokens.encoder(f.read())
     assert got == {i: enc.encode_ordinary(t) for i, t in texts.items()}
     assert sum(len(t) > sizes[0] for t in texts.values()) > 0
+
+
+def test_unsplit_runs_of_documents_have_the_tokenizers_ids(spark):
+    got = {r.doc_id: list(r.ids) for r in catalog.QUERIES["p8_unsplit"](spark, FOLDER).collect()}
+    texts = {r.doc_id: r.t or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").selectExpr("doc_id", r"regexp_replace(make_valid_utf8(text), '\\P{L}+', '') t").collect()}
+    with open(tokens.vocabulary_file(), "rb") as f:
+        enc = tokens.encoder(f.read())
+    assert got == {i: enc.encode_ordinary(t) for i, t in texts.items()}
+    assert sum(len(t) > 4 * 256 for t in texts.values()) > 5
