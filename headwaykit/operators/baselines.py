@@ -33,17 +33,27 @@ def stop_baselines(features: DataFrame, value: str, min_support: int = 30, k: fl
     return with_fences(hourly.unionByName(fallback), k)
 
 
-def metric_baselines(features: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
-    """For each metric its count and exact interpolated median, p25 and p75, in one pass; NaN is no value."""
+def metric_baselines(features: DataFrame, keys: list[str], metrics: list[str], accuracy: int | None = None) -> DataFrame:
+    """For each metric its count and interpolated median, p25 and p75, in one pass; NaN is no value.
+
+    Exact unless an accuracy is given: exact percentiles keep a group's distinct values in its task. With an accuracy
+    they are discrete, within 1/accuracy of rank, from sketches that do not grow with the group.
+    """
     out = []
     for metric in metrics:
         value = F.col(metric).cast("double")
         value = F.when(~F.isnan(value), value)
-        spread = F.percentile(value, [0.25, 0.5, 0.75])
+        spread = F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy) if accuracy else F.percentile(value, [0.25, 0.5, 0.75])
         out += [F.count(value).alias(f"{metric}_count"), *[spread[i].alias(f"{metric}_{n}") for i, n in ((1, "median"), (0, "p25"), (2, "p75"))]]
     return features.groupBy(*keys).agg(F.count("*").alias("observation_count"), *out)
 
 
+def planned_visits(features: DataFrame, kinds: list[str]) -> DataFrame:
+    """The other eligibility rule: visits of planned trips (trip_type one of kinds) with an arrival deviation."""
+    x = F.col("arrival_deviation_seconds")
+    return features.where(F.col("trip_type").isin(kinds) & x.isNotNull() & ~F.isnan(x.cast("double")))
+
+
 def delay_marts(features: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Departure-delay summary per route and day (or hour): counts, mean, median, p90, mean of absolute values."""
     known = features.where(F.col(value).isNotNull()).dropna(subset=keys)

@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headwaykit.functions.timeutil import LOCAL_ZONE, localise
 
 
-def coverage_windows(snapshots: DataFrame, ts: str, gap_s: int = 90) -> DataFrame:
-    """Sessions of snapshots: a step of more than gap_s starts a new window. No single-task ordering: session_window merges locally.
+def coverage_windows(snapshots: DataFrame, ts: str, gap_s: int = 90, slot_s: int = 3600) -> DataFrame:
+    """Sessions of snapshots: a step of more than gap_s starts a new window. A step of exactly gap_s stays inside.
 
-    A step of exactly gap_s stays inside.
+    Snapshots are sessionised slot by slot; what is ordered as a whole afterwards are sessions, of which a slot has
+    slot_s / gap_s at most, not snapshots.
     """
-    session = F.session_window(F.col(ts), f"{gap_s} seconds")
-    return snapshots.where(F.col(ts).isNotNull()).groupBy(session).agg(F.min(ts).alias("window_start"), F.max(ts).alias("window_end"), F.count("*").alias("snapshot_count")).drop("session_window")
+    slot = F.floor(F.unix_micros(ts) / F.lit(slot_s * 1_000_000)).cast("long").alias("_slot")
+    parts = snapshots.where(F.col(ts).isNotNull()).groupBy(slot, F.session_window(F.col(ts), f"{gap_s} seconds")).agg(F.min(ts).alias("_a"), F.max(ts).alias("_b"), F.count("*").alias("_n"))
+    line = Window.partitionBy(F.lit(0)).orderBy("_a")
+    apart = F.unix_micros("_a") - F.unix_micros(F.lag("_b").over(line)) > gap_s * 1_000_000
+    numbered = parts.withColumn("_new", F.coalesce(apart, F.lit(True)).cast("int")).withColumn("_no", F.sum("_new").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy("_no").agg(F.min("_a").alias("window_start"), F.max("_b").alias("window_end"), F.sum("_n").alias("snapshot_count")).drop("_no")
+
+
+def affected_trips(trips: DataFrame, days: DataFrame, columns: list[str]) -> DataFrame:
+    """Trips whose coverage is to be computed again: of one of the days (a table with service_date), or with a null in one of the columns."""
+    named = days.select("service_date").distinct().withColumn("_hit", F.lit(True))
+    unknown = reduce(Column.__or__, [F.col(c).isNull() for c in columns], F.lit(False))
+    return trips.join(named, "service_date", "left").where(F.coalesce("_hit", F.lit(False)) | unknown).drop("_hit")
 
 
 def overlap_seconds(intervals: DataFrame, keys: list[str], start: str, end: str, windows: DataFrame, slot_s: int = 3600) -> DataFrame:

@@ -7,27 +7,27 @@ from pyspark.sql import functions as F
 
 from headwaykit.functions.timeutil import seconds_between
 from headwaykit.operators.dedup import only_value
-from headwaykit.operators.matching import GRAIN
+from headwaykit.operators.matching import GRAIN, observed
 
 INCOMING, STOPPED, IN_TRANSIT = 0, 1, 2
 
 
-def infer_stops(matches: DataFrame, events: DataFrame, affected: DataFrame | None = None) -> DataFrame:
+def infer_stops(matches: DataFrame, events: DataFrame | None = None, affected: DataFrame | None = None) -> DataFrame:
     """One row per (feed, date, trip, sequence, stop) with arrival and departure bounds.
 
     Sequence comes from the match, stop from the event. affected (feed_checksum, service_date, trip_id)
     limits the work to those trips, which are recomputed whole. Rows are placed by trip once: the window
     over neighbours and the aggregate per stop both use that placement.
     """
-    picked = matches.select("event_key", "event_ingestion_timestamp", "feed_checksum", "service_date", "trip_id", "stop_sequence", "scheduled_local_time")
+    picked = matches
     if affected is not None:
         picked = picked.join(affected.select("feed_checksum", "service_date", "trip_id").distinct(), ["feed_checksum", "service_date", "trip_id"], "left_semi")
-    seen = events.select(
-        "event_key", F.col("ingestion_timestamp").alias("event_ingestion_timestamp"), "vehicle_id", "route_id", "direction_id", "stop_id",
+    seen = observed(picked, events).select(
+        "event_key", "feed_checksum", "service_date", "trip_id", "stop_sequence", "scheduled_local_time", "vehicle_id", "route_id", "direction_id", "stop_id",
         F.col("current_status").alias("status"), F.col("vehicle_timestamp").alias("ts"),
     )
     trip = ["feed_checksum", "service_date", "trip_id"]
-    rows = picked.join(seen, ["event_key", "event_ingestion_timestamp"]).where("ts is not null and stop_id is not null and stop_sequence is not null").repartition(*trip)
+    rows = seen.where("ts is not null and stop_id is not null and stop_sequence is not null").repartition(*trip)
     line = Window.partitionBy(*trip, "vehicle_id").orderBy("ts", "event_key")
     here = F.struct("ts", "status", "stop_sequence", "stop_id")
     near = rows.withColumns({"p": F.lag(here).over(line), "n": F.lead(here).over(line)})

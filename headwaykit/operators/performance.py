@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headwaykit.functions.timeutil import LOCAL_ZONE, fractional_seconds, is_weekend, iso_day, local_hour, localise, seconds_between, service_wall
-from headwaykit.operators.matching import GRAIN
+from headwaykit.operators.matching import GRAIN, observed
 
 
 def stop_performance(stop_events: DataFrame, stop_instances: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
@@ -24,16 +24,15 @@ def stop_performance(stop_events: DataFrame, stop_instances: DataFrame, zone: st
     return joined.withColumns(add)
 
 
-def match_quality(matches: DataFrame, events: DataFrame) -> DataFrame:
+def match_quality(matches: DataFrame, events: DataFrame | None = None) -> DataFrame:
     """Per stop the median and largest distance of its matches."""
-    stops = events.select("event_key", F.col("ingestion_timestamp").alias("event_ingestion_timestamp"), "stop_id")
-    return matches.join(stops, ["event_key", "event_ingestion_timestamp"]).groupBy(*GRAIN).agg(
+    return observed(matches, events).groupBy(*GRAIN).agg(
         F.percentile("difference_seconds", 0.5).alias("schedule_match_median_difference_seconds"),
         F.max("difference_seconds").alias("schedule_match_max_difference_seconds"),
     )
 
 
-def stop_features(performance: DataFrame, matches: DataFrame, events: DataFrame, zone: str = LOCAL_ZONE, max_uncertainty_s: int = 60, max_median_s: int = 3600) -> DataFrame:
+def stop_features(performance: DataFrame, matches: DataFrame, events: DataFrame | None = None, zone: str = LOCAL_ZONE, max_uncertainty_s: int = 60, max_median_s: int = 3600) -> DataFrame:
     anomaly = F.coalesce(F.col("schedule_match_median_difference_seconds") > max_median_s, F.lit(False))
     joined = performance.join(match_quality(matches, events), GRAIN, "left").withColumn("schedule_match_anomaly", anomaly)
     eligible = (

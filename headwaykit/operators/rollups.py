@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headwaykit.operators.matching import observed
+
 TRIP = ["feed_checksum", "service_date", "trip_id"]
 
 
@@ -91,11 +93,15 @@ def signed_trip_class(summary: DataFrame) -> DataFrame:
     return summary.withColumn("trip_anomaly_status", label)
 
 
-def signed_route_hour(scores: DataFrame) -> DataFrame:
-    """Per route, direction and hour; stops that cannot be scored are neither normal nor anomalous."""
+def signed_route_hour(scores: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """Per route, direction and hour; stops that cannot be scored are neither normal nor anomalous.
+
+    Percentiles are exact unless an accuracy is given; then sketches give them within 1/accuracy of rank.
+    """
     status = F.col("anomaly_status")
     scored, odd = F.count_if(status != "UNSCORABLE"), F.count_if(status.isin(STATUSES))
-    mid = lambda c, p=0.5, n=1: F.round(F.percentile(c, p).cast("decimal(38,10)"), n).cast("double")
+    at = (lambda c, p: F.percentile_approx(c, p, accuracy)) if accuracy else F.percentile
+    mid = lambda c, p=0.5, n=1: F.round(at(c, p).cast("decimal(38,10)"), n).cast("double")
     return scores.groupBy("service_date", "route_id", "direction_id", "service_hour").agg(
         F.count("*").alias("observed_stop_events"), F.count_distinct("trip_id").alias("observed_trips"), *_status_counts(),
         F.count_if(status == "UNSCORABLE").alias("unscorable_stop_count"), odd.alias("anomalous_stop_count"),
@@ -131,10 +137,8 @@ def signed_route_daily(trips: DataFrame) -> DataFrame:
     )
 
 
-def trip_realtime_summary(matches: DataFrame, events: DataFrame, trip_instances: DataFrame) -> DataFrame:
-    seen = events.select("event_key", F.col("ingestion_timestamp").alias("event_ingestion_timestamp"), "vehicle_id", "vehicle_timestamp", "current_stop_sequence")
-    rows = matches.select("event_key", "event_ingestion_timestamp", *TRIP).join(seen, ["event_key", "event_ingestion_timestamp"])
-    summary = rows.groupBy(*TRIP).agg(
+def trip_realtime_summary(matches: DataFrame, events: DataFrame | None, trip_instances: DataFrame) -> DataFrame:
+    summary = observed(matches, events).groupBy(*TRIP).agg(
         F.min("vehicle_timestamp").alias("first_observation"), F.max("vehicle_timestamp").alias("last_observation"), F.count("*").alias("observation_count"),
         F.count_distinct("vehicle_id").alias("distinct_vehicle_count"), F.min("current_stop_sequence").alias("first_stop_sequence"), F.max("current_stop_sequence").alias("last_stop_sequence"),
     )
