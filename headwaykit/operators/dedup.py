@@ -54,3 +54,10 @@ def only_value(column: Column) -> Column:
 def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Keys on several rows, with their number."""
     return rows.groupBy(*keys).agg(F.count("*").alias("row_count")).where("row_count > 1")
+
+
+def duplicate_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """In one row: keys on several rows, the rows they are on, and the most rows of one."""
+    return duplicate_keys(rows, keys).agg(
+        F.count("*").alias("duplicate_groups"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("duplicate_rows"), F.coalesce(F.max("row_count"), F.lit(0)).alias("most_rows")
+    )

@@ -49,7 +49,7 @@ def observed(matches: DataFrame, events: DataFrame | None = None) -> DataFrame:
         return matches.select(*[c for c in matches.columns if c != "seen"], *[F.col(f"seen.{c}").alias(c) for c in CARRIED])
     if events is None:
         raise ValueError("the matches do not carry their events")
-    seen = events.select("event_key", F.col("ingestion_timestamp").alias("event_ingestion_timestamp"), *CARRIED)
+    seen = events.select("event_key", F.col("ingestion_timestamp").alias("event_ingestion_timestamp"), *[c for c in CARRIED if c in events.columns])
     return matches.drop("seen").join(seen, ["event_key", "event_ingestion_timestamp"])
 
 

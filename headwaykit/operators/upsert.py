@@ -2,7 +2,8 @@
 
 Parquet has no row-level update, so the partitions that new rows touch are rewritten: read, merged,
 written to a folder beside the table, then moved in by dynamic partition overwrite. A failure before the
-last step leaves the table as it was; a repeated call gives the same table.
+last step leaves the table as it was; one in it can leave some partitions new and some old, and a repeated call
+then gives the whole new table.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from headwaykit.functions.keys import sieved
 from headwaykit.operators.dedup import duplicate_keys
+from headwaykit.session import written
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -33,27 +35,61 @@ def insert_only(path: str, rows: DataFrame, keys: list[str], partition: str) ->
     rows.write.mode("append").partitionBy(partition).parquet(path)
 
 
-def upsert(path: str, rows: DataFrame, keys: list[str], partition: str, scope: list[str] | None = None) -> None:
+def register(path: str, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds the rows whose key is not registered and gives just those: only they flow on.
+
+    Of rows with one key in a batch, one is registered. The new rows are written once, so what is registered and what
+    flows on are the same; a batch that is run again after it was registered gives none.
+    """
+    spark = rows.sparkSession
+    once = rows.dropDuplicates(keys)
+    fresh = written(new_rows(spark.read.parquet(path), once, keys) if _exists(spark, path) else once, "fresh")
+    fresh.write.mode("append").parquet(path)
+    return fresh
+
+
+def register_files(path: str, rows: DataFrame, fresh: DataFrame, source: str = "source_file") -> DataFrame:
+    """Registers the files that the rows came from: object_name, row_count and how many of their rows are among the fresh ones."""
+    new = fresh.groupBy(F.col(source).alias("object_name")).agg(F.count("*").alias("new_row_count"))
+    files = rows.groupBy(F.col(source).alias("object_name")).agg(F.count("*").alias("row_count")).join(new, "object_name", "left")
+    return register(path, files.withColumn("new_row_count", F.coalesce("new_row_count", F.lit(0))), ["object_name"])
+
+
+def upsert(path: str, rows: DataFrame, keys: list[str], partition: str, scope: list[str] | None = None, keys_stay: bool = False) -> None:
     """Replaces stored rows of equal keys (or of equal scope, if given) and adds the rest.
 
-    Keys must be unique among the rows and a key must stay in its partition. Only touched partitions are
-    read and rewritten; their values are few (dates), and are passed to the scan as literals.
+    Keys must be unique among the rows. Partitions that hold rows of the same keys (or scope) are rewritten too, so a row
+    may move from one partition to another; finding them reads the table's key columns. Where a key never leaves its
+    partition, keys_stay saves that. The values of rewritten partitions are few (dates), and are passed to the
+    scan as literals.
     """
     spark = rows.sparkSession
+    rows = written(rows, "upsert")
     if not duplicate_keys(rows, keys).isEmpty():
         raise ValueError("the new rows repeat a key")
     if not _exists(spark, path):
         rows.write.partitionBy(partition).parquet(path)
         return
-    touched = [r[0] for r in rows.select(partition).distinct().collect()]
-    stored = spark.read.parquet(path).where(F.col(partition).isin(touched))
     by = scope or keys
+    touched = {r[0] for r in rows.select(partition).distinct().collect()}
+    table = spark.read.parquet(path)
+    if not keys_stay:
+        key = F.xxhash64(*by)
+        met = sieved(table.select(*by, F.col(partition).alias("_old")), key, rows, key).join(rows.select(*by).distinct(), by, "left_semi")
+        touched |= {r[0] for r in met.select("_old").distinct().collect()}
+    place = F.col(partition)
+    stored = table.where(place.isin([t for t in touched if t is not None]) | (place.isNull() if None in touched else F.lit(False)))
     kept = stored.join(rows.select(*by).distinct(), by, "left_anti")
     side = f"{path.rstrip('/')}__next"
     kept.unionByName(rows.select(*kept.columns)).write.mode("overwrite").partitionBy(partition).parquet(side)
-    spark.read.parquet(side).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-    place = spark._jvm.org.apache.hadoop.fs.Path(side)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    whole = spark.read.schema(table.schema).parquet(side)
+    whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    # A partition that its last row left is not overwritten by anything.
+    files = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    left = {r[0] for r in whole.select(partition).distinct().collect()}
+    for value in touched - left:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"), True)
+    files.delete(spark._jvm.org.apache.hadoop.fs.Path(side), True)
 
 
 def update_from(rows: DataFrame, updates: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:

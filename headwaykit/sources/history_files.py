@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def scan_recursive(spark: SparkSession, path: str) -> DataFrame:
@@ -33,23 +36,50 @@ def in_dates(rows: DataFrame, column: str, first: str | None = None, last: str |
     return rows.where(F.col(column) <= F.lit(last).cast("date")) if last else rows
 
 
-def write_partitioned(rows: DataFrame, path: str, partition: str, files_per_value: int = 1) -> int:
+def write_partitioned(rows: DataFrame, path: str, partition: str, files: int = 32) -> int:
     """Overwrites just the partitions that the rows touch; refuses to write none. Returns the number of rows.
 
-    Rows are spread over files_per_value tasks per partition value, so one large day is not one task.
-    The count is observed while writing, not by a second pass.
+    A value's rows are spread over `files` files at most by a hash of the row, so one large day is not one task and a task
+    that is run again places its rows as before. Rows are counted while they are written.
     """
     from pyspark.sql import Observation
 
-    if rows.isEmpty():
-        raise ValueError("there are no rows to write")
     seen = Observation()
-    spread = rows.withColumn("_file", F.floor(F.rand(7) * files_per_value).cast("int")).repartition(partition, "_file").drop("_file")
+    spread = rows.withColumn("_file", F.pmod(F.xxhash64(*rows.columns), F.lit(files))).repartition(partition, "_file").drop("_file")
     counted = spread.observe(seen, F.count("*").alias("n"))
     counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    if not seen.get["n"]:
+        raise ValueError("there are no rows to write")
     return seen.get["n"]
 
 
+def conform(rows: DataFrame, schema: str) -> DataFrame:
+    """The columns of a DDL schema, in its order and types; a column the rows lack is null, a malformed value too."""
+    fields = StructType.fromDDL(schema).fields
+    typed = lambda f: (F.col(f.name).try_cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+    return rows.select(*map(typed, fields))
+
+
+def replace_table(rows: DataFrame, path: str, schema: str | None = None, partition: str | None = None, cluster: list[str] | None = None) -> DataFrame:
+    """Truncate and load: the table at path becomes the rows, read back as they are stored.
+
+    Written beside the table and moved in at the end, so the rows may come from the table itself and a failure
+    before that leaves it as it was. cluster sorts inside files, as a clustered copy of an external table has it.
+    """
+    spark = rows.sparkSession
+    loaded = conform(rows, schema) if schema else rows
+    loaded = loaded.repartitionByRange(*cluster).sortWithinPartitions(*([partition] if partition else []), *cluster) if cluster else loaded
+    side = f"{path.rstrip('/')}__next"
+    writer = loaded.write.mode("overwrite")
+    (writer.partitionBy(partition) if partition else writer).parquet(side)
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (side, path))
+    files = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"cannot move {side} to {path}")
+    return spark.read.schema(loaded.schema).parquet(path)
+
+
 def export_sorted(rows: DataFrame, path: str, partition: str, order: list[str]) -> None:
     """Sorted export by partition: files of a range each, sorted inside."""
     rows.repartitionByRange(partition, *order).sortWithinPartitions(partition, *order).write.mode("overwrite").partitionBy(partition).parquet(path)
@@ -59,3 +89,22 @@ def ask(spark: SparkSession, statement: str, **parameters) -> DataFrame:
     """A parameterised query: values are bound, not pasted; lists bind as arrays."""
     bound = {k: F.array(*[F.lit(x) for x in v]) if isinstance(v, list) else v for k, v in parameters.items()}
     return spark.sql(statement, args=bound)
+
+
+class Answers:
+    """ask with a memory: the rows of small results, kept for a while (two minutes) under statement and parameters."""
+
+    def __init__(self, spark: SparkSession, keep_s: float = 120.0, most_rows: int = 100_000, clock=time.monotonic) -> None:
+        self.spark, self.keep_s, self.most_rows, self.clock = spark, keep_s, most_rows, clock
+        self.known: dict[tuple, tuple[float, list]] = {}
+
+    def __call__(self, statement: str, **parameters) -> list:
+        key = (statement, repr(sorted(parameters.items())))
+        now = self.clock()
+        self.known = {k: v for k, v in self.known.items() if now - v[0] < self.keep_s}
+        if key not in self.known:
+            rows = ask(self.spark, statement, **parameters).limit(self.most_rows + 1).collect()
+            if len(rows) > self.most_rows:
+                raise ValueError(f"more than {self.most_rows} rows: not for a dashboard")
+            self.known[key] = (now, rows)
+        return self.known[key][1]

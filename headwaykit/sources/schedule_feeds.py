@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headwaykit.functions.timeutil import clock_seconds
+from headwaykit.session import written
 
 #: Member file, columns and, of these, which must not be blank.
 MEMBERS: dict[str, tuple[str, list[str]]] = {
@@ -48,6 +49,8 @@ def _member(batches: Iterator[pa.RecordBatch], member: str, columns: list[str],
                 with archive.open(member) as raw:
                     for row in csv.DictReader(io.TextIOWrapper(raw, "utf-8-sig", errors="replace", newline="")):
                         rows.append([checksum, path, *((row.get(c) or "").strip() or None for c in columns)])
+                        if member == "feed_info.txt":
+                            break  # its first row counts
                         if len(rows) >= 20_000:
                             yield out(rows)
                             rows = []
@@ -78,10 +81,51 @@ def new_feeds(files: DataFrame, registered: DataFrame) -> DataFrame:
 
 
 def register_feeds(files: DataFrame) -> DataFrame:
-    """feed_checksum, feed_version, start and end date: the first row of feed_info, nulls if the feed has none."""
+    """feed_checksum, file_path, feed_version, start and end date: the first row of feed_info, nulls if the feed has none. One row per feed."""
     info = feed_table(files, "feed_info", required=False)
-    first = info.groupBy("feed_checksum").agg(*[F.first(c).alias(c) for c in ("feed_version", "feed_start_date", "feed_end_date")])
-    return files.select("feed_checksum", F.col("path").alias("file_path")).join(first, "feed_checksum", "left")
+    first = info.groupBy("feed_checksum").agg(*[F.min(c).alias(c) for c in ("feed_version", "feed_start_date", "feed_end_date")])  # copies of a feed are equal
+    return files.groupBy("feed_checksum").agg(F.min("path").alias("file_path")).join(first, "feed_checksum", "left")
+
+
+def next_feed(files: DataFrame, registered: DataFrame | None = None) -> DataFrame:
+    """The oldest feed that is not registered (by time of its file, then name), or none."""
+    rows = files if registered is None else new_feeds(files, registered)
+    return rows.orderBy("modificationTime", "path").limit(1)
+
+
+LOADED = ("routes", "stops", "trips", "stop_times", "calendar", "calendar_dates")
+
+
+def load_feed(feed: DataFrame, path: str) -> DataFrame:
+    """Loads one feed's six tables below path, all or nothing: a feed counts as loaded once it is registered, which comes last.
+
+    What a failed load left is overwritten when the feed is loaded again. Gives the registry's new rows.
+    """
+    spark = feed.sparkSession
+    one = written(feed, "feed")  # read once from the landing zone, not once per member
+    for member in LOADED:
+        table = feed_table(one, member, required=member not in ("calendar", "calendar_dates"))
+        table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("feed_checksum").parquet(f"{path}/{member}")
+    rows = written(register_feeds(one), "registered")
+    rows.write.mode("append").parquet(f"{path}/feeds")
+    return spark.read.schema(rows.schema).parquet(f"{path}/feeds").join(rows.select("feed_checksum"), "feed_checksum", "left_semi")
+
+
+def loaded_table(spark: SparkSession, path: str, member: str) -> DataFrame:
+    """A loaded table, of registered feeds only."""
+    feeds = spark.read.parquet(f"{path}/feeds").select("feed_checksum").distinct()
+    return spark.read.parquet(f"{path}/{member}").join(feeds, "feed_checksum", "left_semi")
+
+
+def feed_zip(members: dict[str, tuple[list[str], list[tuple]]]) -> bytes:
+    """A feed's zip from columns and rows of its members: for small feeds, as samples and tests need them."""
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
+        for name, (columns, rows) in members.items():
+            text = io.StringIO()
+            csv.writer(text).writerows([columns, *rows])
+            archive.writestr(zipfile.ZipInfo(f"{name}.txt", (2026, 1, 1, 0, 0, 0)), text.getvalue())
+    return content.getvalue()
 
 
 def stop_dimension(files: DataFrame) -> DataFrame:

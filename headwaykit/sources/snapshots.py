@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterator
+from datetime import date
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -114,10 +116,74 @@ def candidate_files(files: DataFrame, registry: DataFrame | None, since: Column
     return ordered.limit(max_files) if max_files else ordered
 
 
-def snapshot_files(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """Snapshot files below a folder; a stream of them takes each file once."""
-    reader = (spark.readStream.schema("path string, modificationTime timestamp, length long, content binary") if stream else spark.read).format("binaryFile")
-    return reader.option("pathGlobFilter", "*.pb").option("recursiveFileLookup", "true").load(path)
+def dated_folders(spark: SparkSession, path: str, since: date) -> list[str]:
+    """The folders below path that are of a day (a name with yyyy-mm-dd or yyyymmdd in it) and not before `since`: only they are listed further."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for status in files.listStatus(root):
+        named = re.search(r"(\d{4})-?(\d{2})-?(\d{2})", status.getPath().getName())
+        if status.isDirectory() and named and "".join(named.groups()) >= since.strftime("%Y%m%d"):
+            found.append(status.getPath().toString())
+    return sorted(found)
+
+
+def snapshot_files(spark: SparkSession, path: str, stream: bool = False, since: date | None = None) -> DataFrame:
+    """Snapshot files below a folder, with `since` only in its folders of that day or later; a stream of them takes each file once."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    reader = (spark.readStream.schema(schema) if stream else spark.read).format("binaryFile")
+    reader = reader.option("pathGlobFilter", "*.pb").option("recursiveFileLookup", "true")
+    if since is None or stream:
+        return reader.load(path)
+    folders = dated_folders(spark, path, since)
+    return reader.load(folders) if folders else spark.createDataFrame([], schema)
+
+
+def _uint(value: int) -> bytes:
+    out = bytearray()
+    while value > 0x7F:
+        out.append(value & 0x7F | 0x80)
+        value >>= 7
+    out.append(value)
+    return bytes(out)
+
+
+def _put(number: int, value) -> bytes:
+    """A field: integers as varints, floats in four bytes, texts and messages with their length; nothing for None."""
+    if value is None:
+        return b""
+    if isinstance(value, int):
+        return _uint(number << 3) + _uint(value)
+    if isinstance(value, float):
+        return _uint(number << 3 | 5) + struct.pack("<f", value)
+    data = value.encode() if isinstance(value, str) else value
+    return _uint(number << 3 | 2) + _uint(len(data)) + data
+
+
+def encode(feed_seconds: int | None, rows: list[dict]) -> bytes:
+    """A snapshot of the rows, as decode reads it."""
+    codes = {name: code for code, name in RELATIONSHIPS.items()}
+    out = [_put(1, _put(1, "2.0") + _put(3, feed_seconds))]
+    for r in rows:
+        trip = _put(1, r["trip_id"]) + _put(4, codes.get(r["schedule_relationship"], 0)) + _put(5, r["route_id"]) + _put(6, r["direction_id"])
+        place = None if r["latitude"] is None or r["longitude"] is None else _put(1, r["latitude"]) + _put(2, r["longitude"])
+        who = _put(8, _put(1, r["vehicle_id"])) if r["vehicle_id"] is not None else b""
+        vehicle = _put(1, trip) + _put(2, place) + _put(3, r["current_stop_sequence"]) + _put(4, r["current_status"]) + _put(5, r["vehicle_timestamp_raw"]) + _put(7, r["stop_id"]) + who
+        out.append(_put(2, _put(1, r["entity_id"]) + _put(4, vehicle)))
+    return b"".join(out)
+
+
+def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        content = [encode(seconds, rows) for seconds, rows in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(content, pa.binary())], names=["path", "content"])
+
+
+def encode_snapshots(rows: DataFrame, path: str, feed_seconds: str) -> DataFrame:
+    """(path, content): one snapshot for each value of `path`, of all its rows (a snapshot is small: one look at a fleet)."""
+    columns = ["entity_id", "vehicle_id", "trip_id", "route_id", "schedule_relationship", "direction_id", "latitude", "longitude", "stop_id", "current_stop_sequence", "current_status", "vehicle_timestamp_raw"]
+    looks = rows.groupBy(F.col(path).alias("path")).agg(F.max(feed_seconds).alias("feed"), F.collect_list(F.struct(*columns)).alias("rows"))
+    return looks.mapInArrow(_encode, "path string, content binary")
 
 
 def decode_snapshots(files: DataFrame) -> DataFrame:
