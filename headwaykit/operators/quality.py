@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -184,3 +186,9 @@ def holds(rows: DataFrame, condition: Column) -> DataFrame:
 
 def references(rows: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(target.select(*keys), keys, "left_anti")
+
+
+def violations(checks: dict[str, DataFrame]) -> DataFrame:
+    """(assertion, violations): how many rows each assertion gives."""
+    counts = [df.agg(F.count("*").alias("violations")).select(F.lit(name).alias("assertion"), "violations") for name, df in checks.items()]
+    return reduce(DataFrame.unionByName, counts)

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headwaykit.plans import pipeline_queries, reference_queries
+from headwaykit.plans import pipeline_queries, reference_queries, service_queries
 
 MODULES = [pipeline_queries, reference_queries]
+reference_queries.SQL["q_assertions"] = service_queries.assertions_sql()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +21,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    return reference_queries.QUERIES["d13_trip_anomalies"](spark, folder)
+    return reference_queries.QUERIES["chain_trips"](spark, folder)

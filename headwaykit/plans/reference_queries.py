@@ -673,15 +673,11 @@ def _violations(v: Views) -> DataFrame:
         "baselines_valid": quality.holds(base, (F.col("observation_count") >= 30) & (F.col("q1_delay_seconds") <= F.col("median_delay_seconds")) & (F.col("median_delay_seconds") <= F.col("q3_delay_seconds")) & (F.col("iqr_delay_seconds") >= 0)),
         "history_unique": quality.unique(v.history(), VISIT),
     }
-    counts = [df.agg(F.count("*").alias("violations")).withColumn("assertion", F.lit(name)) for name, df in checks.items()]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out.select("assertion", "violations")
+    return quality.violations(checks)
 
 
 ASSERTIONS = ["matches_unique", "matches_valid", "matches_have_events", "stops_unique", "stops_quality", "stops_uncertainty", "scores_class", "scores_fence", "route_hour_unique", "route_hour_rate", "baselines_unique", "baselines_valid", "history_unique"]
-query("q_assertions", "select unnest([" + ", ".join(f"'{a}'" for a in ASSERTIONS) + "]) as assertion, 0::bigint as violations")(_violations)
+query("q_assertions")(_violations)  # its SQL is in service_queries
 
 
 # --- V: serving --------------------------------------------------------------------------------------------
