@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LOCAL_ZONE = "America/New_York"
@@ -59,3 +61,12 @@ def clock_seconds(text: Column) -> Column:
 def epoch_or_null(seconds: Column) -> Column:
     """Epoch seconds to an instant; 0 means absent."""
     return F.timestamp_seconds(F.nullif(seconds, F.lit(0)))
+
+
+def stamped(rows: DataFrame, as_of: datetime, known: DataFrame | None = None, keys: list[str] | None = None) -> DataFrame:
+    """Adds created_at and updated_at: as_of, but created_at as `known` (by keys) has it for rows that were there before."""
+    now = F.lit(as_of).cast("timestamp")
+    if known is None:
+        return rows.withColumns({"created_at": now, "updated_at": now})
+    before = known.select(*keys, F.col("created_at").alias("_created"))
+    return rows.join(before, keys, "left").withColumns({"created_at": F.coalesce("_created", now), "updated_at": now}).drop("_created")

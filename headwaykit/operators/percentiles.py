@@ -35,7 +35,7 @@ def exact_percentiles(rows: DataFrame, keys: list[str], value: str, shares: list
     for i, share in enumerate(shares):
         at = F.lit(float(share)) * (F.col("n") - 1)
         parts += [held(F.floor(at)).alias(f"_low{i}"), held(F.ceil(at)).alias(f"_high{i}")]
-    found = ranked.join(placed, same).groupBy(*keys).agg(F.max("n").alias("n"), *parts)
+    found = ranked.join(placed, same).groupBy(*keys).agg(F.max("n").alias("n"), *parts).where("n is not null")  # no values, no row
 
     def between(i: int, share: float):
         at = F.lit(float(share)) * (F.col("n") - 1)

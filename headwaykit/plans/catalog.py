@@ -10,6 +10,7 @@ from headwaykit.plans import pipeline_queries, reference_queries, service_querie
 
 MODULES = [pipeline_queries, reference_queries]
 reference_queries.SQL["q_assertions"] = service_queries.assertions_sql()
+reference_queries.SQL["t3_pane_updates"] = pipeline_queries.SQL["p2_corrected_counts"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -293,6 +295,122 @@ def _(v: Views) -> DataFrame:
     return _feed_instances(v)[1].select(text("service_date"), "trip_id", "stop_sequence", "stop_id", "arrival_seconds", F.unix_micros(F.col("scheduled_departure_local").cast("timestamp")).alias("departure_us"))
 
 
+@query("s1_recursive_scan", "select count(*) as n, sum(l_orderkey)::bigint as keys, false as has_folder_column from lineitem")
+def _(v: Views) -> DataFrame:
+    """A table stored in folders by line number, read without regard to them."""
+    path = scratch(v.spark, "folders")
+    v.table("lineitem").select("l_orderkey", "l_linenumber").write.partitionBy("l_linenumber").parquet(path)
+    rows = history_files.scan_recursive(v.spark, path)
+    return rows.agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("keys")).withColumn("has_folder_column", F.lit("l_linenumber" in rows.columns))
+
+
+@query("s2_pruned_dates", """select service_date::varchar as service_date, count(*) as n from hist
+    where service_date between (select min(service_date) from hist) and (select min(service_date) + 2 from hist) group by service_date""", "hist")
+def _(v: Views) -> DataFrame:
+    """History by date folders; a range of dates reads theirs only."""
+    path = scratch(v.spark, "dates")
+    history_files.write_partitioned(v.history(), path, "service_date", files=2)
+    rows = history_files.scan_partitioned(v.spark, path)
+    first = rows.agg(F.min("service_date")).first()[0]  # one value
+    return history_files.in_dates(rows, "service_date", str(first), str(first + timedelta(days=2))).groupBy(text("service_date")).agg(F.count("*").alias("n"))
+
+
+@query("s3_file_facts", "select count(*) as rows, 22 as columns from historical_stop_features")
+def _(v: Views) -> DataFrame:
+    """What footers tell, without reading rows."""
+    paths = v.table("historical_stop_features").inputFiles()
+    facts = history_files.file_facts([p.removeprefix("file://") for p in paths])
+    return v.spark.createDataFrame(facts).agg(F.sum("rows").alias("rows"), F.max("columns").cast("int").alias("columns"))
+
+
+@query("s7_candidate_files", """with f as (select distinct 'snap/' || strftime(ingestion_timestamp, '%Y-%m-%d') || '/' || strftime(ingestion_timestamp, '%Y%m%dT%H%M%SZ') || '.pb' as path, date_trunc('second', ingestion_timestamp) as arrived
+      from temp_vehicle_events_stage where ingestion_timestamp is not null)
+    select path, epoch_us(arrived) as at_us from f where epoch_us(arrived) // 1000000 % 4 > 0 and arrived >= (select max(arrived) - interval 2 day from f) order by arrived, path limit 100""")
+def _(v: Views) -> DataFrame:
+    """Names of snapshots with their times; every fourth second is registered already, and a look back of two days, the oldest hundred."""
+    at = F.col("ingestion_timestamp")
+    names = v.table("temp_vehicle_events_stage").where(at.isNotNull()).select(F.concat(F.lit("snap/"), F.date_format(at, "yyyy-MM-dd"), F.lit("/"), F.date_format(at, "yyyyMMdd'T'HHmmss'Z'"), F.lit(".pb")).alias("path"), F.unix_seconds(at).alias("s")).distinct()
+    registered = names.where("s % 4 = 0").select(F.col("path").alias("object_name"))
+    newest = F.timestamp_seconds(F.lit(names.agg(F.max("s")).first()[0]))  # one value
+    files = snapshots.candidate_files(names.select("path"), registered, newest - F.expr("interval 2 days"), 100)
+    return files.select("path", F.unix_micros("ingestion_timestamp").alias("at_us"))
+
+
+@query("s24_history_files", "select count(distinct content) as files, sum(n)::bigint as bytes from (select n_comment as content, max(octet_length(encode(n_comment))) as n from (select case when n_nationkey % 5 = 0 then 'same' else n_name end as n_comment from nation) group by 1)")
+def _(v: Views) -> DataFrame:
+    """Files taken once by their content, whatever their names, also over two goes."""
+    from headwaykit.sources.landing import new_history_files
+
+    path = scratch(v.spark, "taken")
+    content = F.when(F.col("n_nationkey") % 5 == 0, "same").otherwise(F.col("n_name"))
+    files = v.table("nation").select(F.col("n_nationkey").cast("string").alias("path"), F.encode(content, "UTF-8").alias("content"))
+    both = new_history_files(files.where("path < '3'"), path).unionByName(new_history_files(files, path))
+    return both.agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
+
+
+@query("f17_blank_as_null", """select feature_row, try_cast(nullif(trim(scheduled_arrival), '') as int)::varchar as seconds, nullif(trim(scheduled_arrival), '') is null as is_blank from realtime_stop_features""")
+def _(v: Views) -> DataFrame:
+    given = F.nullif(F.trim("scheduled_arrival"), F.lit(""))
+    whole = F.when(given.rlike(r"\A[+-]?\d+\z"), given.try_cast("int"))
+    return v.table("realtime_stop_features").select("feature_row", whole.cast("string").alias("seconds"), given.isNull().alias("is_blank"))
+
+
+@query("f12_stamped", """select feature_row, (case when feature_row % 2 = 0 then timestamptz '2026-01-01 00:00:00+00' else timestamptz '2026-02-01 00:00:00+00' end)::varchar as created, (timestamptz '2026-02-01 00:00:00+00')::varchar as updated from realtime_stop_features""".replace("::varchar as created", "::date::varchar as created").replace("::varchar as updated", "::date::varchar as updated"))
+def _(v: Views) -> DataFrame:
+    """Rows stamped by two runs: those of the first keep their time of creation."""
+    from headwaykit.functions.timeutil import stamped
+
+    rows = v.table("realtime_stop_features").select("feature_row")
+    first = stamped(rows.where("feature_row % 2 = 0"), datetime(2026, 1, 1, tzinfo=timezone.utc))
+    return stamped(rows, datetime(2026, 2, 1, tzinfo=timezone.utc), first, ["feature_row"]).select("feature_row", text(F.to_date("created_at"), "created"), text(F.to_date("updated_at"), "updated"))
+
+
+# --- Streams, run to the end of their input ----------------------------------------------------------------------------
+
+
+def _stage_stream(v: Views) -> tuple[DataFrame, str]:
+    """The staged rows as a stream of files, three micro-batches and more, and a place for what it leaves."""
+    path = scratch(v.spark, "stream")
+    rows = v.table("temp_vehicle_events_stage").where("ingestion_timestamp is not null")
+    rows.repartitionByRange(3, "ingestion_timestamp").write.parquet(f"{path}/in")
+    return v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in"), path
+
+
+@query("t1_landed_events", "select event_key, 1 as copies from ev where ingestion_timestamp is not null and event_key is not null", "ev")
+def _(v: Views) -> DataFrame:
+    """Micro-batches landed one after the other, and the whole stream a second time."""
+    from headwaykit.streaming.live import land_events
+
+    stream, path = _stage_stream(v)
+    for check in ("a", "b"):
+        land_events(stream, f"{path}/table", f"{path}/{check}").awaitTermination()
+    return v.spark.read.parquet(f"{path}/table").where("length(event_key) = 64").groupBy("event_key").agg(F.count("*").cast("int").alias("copies"))
+
+
+@query("t3_pane_updates", None)
+def _(v: Views) -> DataFrame:
+    """p2's half-hour windows, kept up to date by micro-batches: each window as it was last given out."""
+    from headwaykit.streaming.live import pane_updates
+
+    stream, path = _stage_stream(v)
+    give = lambda windows, number: windows.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{path}/given/n={number}")
+    pane_updates(stream, f"{path}/state", give, f"{path}/check", window_s=1800, slide_s=900).awaitTermination()
+    counts = ["published_count", "corrected_count", "too_late_count"]
+    last = v.spark.read.parquet(f"{path}/given").groupBy("route_id", "period_start_s").agg(F.max_by(F.struct(*counts), "_batch").alias("w"))
+    return last.select("route_id", "period_start_s", "w.*").where("corrected_count + too_late_count > 0")
+
+
+@query("t5_live_scores", "select feed_checksum, service_date::varchar as service_date, trip_id, stop_sequence, stop_id, cls as stop_classification from csc", "csc")
+def _(v: Views) -> DataFrame:
+    """The live chain on the stream: every micro-batch's trips matched, inferred and scored again."""
+    from headwaykit.streaming.live import live_scores
+
+    stream, path = _stage_stream(v)
+    base = written(baselines.stop_baselines(v.historical_features().where("baseline_eligible"), "arrival_delay_seconds"), "baselines")
+    live_scores(stream, f"{path}/events", lambda spark: v.schedule(), lambda spark: base, f"{path}/scores", f"{path}/check").awaitTermination()
+    return v.spark.read.parquet(f"{path}/scores").select("feed_checksum", text("service_date"), "trip_id", "stop_sequence", "stop_id", "stop_classification")
+
+
 # --- Matching, predicates, functions -----------------------------------------------------------------------------
 
 
@@ -395,8 +513,6 @@ def _(v: Views) -> DataFrame:
 
 @query("t10_event_freshness", "select count(*) as n, epoch_us(max(ingestion_timestamp)) as last_us, (epoch_us(timestamptz '2027-01-01 00:00:00+00') - epoch_us(max(ingestion_timestamp))) // 1000000 as age_seconds from ev", "ev")
 def _(v: Views) -> DataFrame:
-    from datetime import datetime, timezone
-
     return serving.freshness(v.events().withColumn("_all", F.lit(1)), "_all", "ingestion_timestamp", datetime(2027, 1, 1, tzinfo=timezone.utc)).drop("_all")
 
 

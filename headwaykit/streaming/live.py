@@ -10,8 +10,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from headwaykit.functions.keys import canonical_key, event_identity
 from headwaykit.operators.dedup import keep_first
+from headwaykit.operators.inference import infer_stops
+from headwaykit.operators.matching import GRAIN, match_schedule
 from headwaykit.operators.panes import apply_batch, compose_windows, new_arrivals, pane_sums
+from headwaykit.operators.performance import stop_features, stop_performance
+from headwaykit.operators.scoring import score_stops
 from headwaykit.operators.upsert import _exists, insert_only, upsert
+from headwaykit.session import written
 
 
 def once_within(events: DataFrame, delay: str = "2 hours") -> DataFrame:
@@ -77,6 +82,14 @@ def session_stream(snapshots: DataFrame, ts: str, by: str, gap_s: int = 90) -> D
     return snapshots.withWatermark(ts, f"{gap_s} seconds").groupBy(by, F.session_window(ts, f"{gap_s} seconds")).agg(F.count("*").alias("snapshot_count"))
 
 
+def keep_earliest(batch: DataFrame) -> DataFrame:
+    """Of an event's copies the one that arrived first, under its key's canonical form; a row without key stands for itself."""
+    row = F.xxhash64(*sorted(batch.columns))
+    keyed = batch.withColumn("_key", event_identity(F.col("event_key"), row))
+    first = keep_first(keyed, ["_key"], [F.col("ingestion_timestamp").asc_nulls_last(), row.asc()])
+    return first.withColumn("event_key", F.lower(F.hex("_key"))).drop("_key")
+
+
 def land_events(stream: DataFrame, path: str, checkpoint: str, partition: str = "ingestion_date") -> StreamingQuery:
     """Adds each micro-batch's new events to a stored table; a batch that is run again adds nothing.
 
@@ -85,10 +98,7 @@ def land_events(stream: DataFrame, path: str, checkpoint: str, partition: str =
     """
 
     def write(batch: DataFrame, _: int) -> None:
-        row = F.xxhash64(*sorted(batch.columns))
-        keyed = batch.withColumn("_key", event_identity(F.col("event_key"), row))
-        first = keep_first(keyed, ["_key"], [F.col("ingestion_timestamp").asc_nulls_last(), row.asc()])
-        dated = first.withColumn("event_key", F.lower(F.hex("_key"))).drop("_key").withColumn(partition, F.to_date("ingestion_timestamp"))
+        dated = keep_earliest(batch).withColumn(partition, F.to_date("ingestion_timestamp"))
         insert_only(path, dated, ["event_key"], partition)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -118,6 +128,39 @@ def recompute_scopes(
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def live_scores(
+    stream: DataFrame,
+    events: str,
+    schedule: Callable[[SparkSession], DataFrame],
+    baselines: Callable[[SparkSession], DataFrame],
+    scores: str,
+    checkpoint: str,
+    observe: Callable[[DataFrame, int], None] = lambda changed, number: None,
+) -> StreamingQuery:
+    """The live chain on a stream: new events are landed, their trips matched, inferred and scored again, whole, and stored.
+
+    events and scores are the places of the stored tables; schedule and baselines load theirs, as they are when a batch
+    comes. observe gets the scores a batch changed. A batch that is run again lands nothing and stores the same scores.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        keyed = written(keep_earliest(batch), "batch")
+        insert_only(events, keyed.withColumn("ingestion_date", F.to_date("ingestion_timestamp")), ["event_key"], "ingestion_date")
+        trips = written(keyed.select("trip_id").dropna().distinct(), "trips")
+        if trips.isEmpty():
+            return
+        known = spark.read.parquet(events).join(trips, "trip_id", "left_semi")
+        timetable = schedule(spark)
+        matches = match_schedule(known, timetable)
+        features = stop_features(stop_performance(infer_stops(matches), timetable), matches)
+        changed = written(score_stops(features, baselines(spark)), "scores")
+        upsert(scores, changed, GRAIN, "service_date", ["trip_id"])
+        observe(changed, number)
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def emit(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "update") -> StreamingQuery:
     """Hands each micro-batch's changed rows to `write`, which must bear being given a batch twice."""
     return stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
