@@ -57,6 +57,8 @@ class Summary:
             yield 0, np.sort(np.concatenate(self.loose))
 
     def merge(self, level: int, values: np.ndarray) -> None:
+        if len(values) > self.k or level and len(values) != self.k:
+            raise ValueError(f"a buffer of {len(values)} values at level {level} is not of summaries of {self.k}")
         if level == 0 and len(values) < self.k:
             self.add(values)
         else:
@@ -146,8 +148,8 @@ def summarise(rows: DataFrame, groups: list[str], value: str, k: int = 256, held
 
 
 def merge_summaries(summaries: DataFrame, groups: list[str], k: int = 256) -> DataFrame:
-    """Merges summaries (of parts, days, earlier runs) into one per group; k must be that of the parts."""
-    placed = summaries.repartition(*groups).sortWithinPartitions(*groups, "level") if groups else summaries.coalesce(1)
+    """Merges summaries (of parts, days, earlier runs) into one per group; k must be that of the parts, else ValueError."""
+    placed = summaries.repartition(*groups).sortWithinPartitions(*groups, "level") if groups else summaries.repartition(1).sortWithinPartitions("level")
     return placed.select(*groups, "level", "vals").mapInArrow(partial(_merge, k=k, names=groups), _schema(summaries, groups))
 
 

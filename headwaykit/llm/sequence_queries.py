@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,21 @@ def p3_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     return packs.select(*BASELINE_KEY, F.col("n").alias("arrival_count"), *percentile_columns(F.col("buffers"), F.col("n"), shares))
 
 
+def p3_within_bound(spark: SparkSession, folder: str) -> DataFrame:
+    """Per group of p3_percentiles its number of values, and whether each percentile's true rank is within the known error of the one asked for."""
+    shares = {"p25_seconds": 0.25, "median_seconds": 0.5, "p75_seconds": 0.75, "p90_seconds": 0.9}
+    once = visits_once(table(spark, folder, "historical_stop_features"), BASELINE_KEY)
+    given = p3_percentiles(spark, folder).select(*[F.col(c).alias(f"_{c}") for c in BASELINE_KEY], *shares)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in BASELINE_KEY])
+    value = F.col("arrival_deviation_seconds")
+    ranks = [F.struct(F.count_if(value < F.col(name)).alias("below"), F.count_if(value <= F.col(name)).alias("upto")).alias(f"_r_{name}") for name in shares]
+    held = once.join(given, same).groupBy(*BASELINE_KEY).agg(F.count("*").alias("arrival_count"), *ranks)
+    n = F.col("arrival_count")
+    error = F.greatest(F.ceil(F.log2(n / F.lit(256.0))), F.lit(0)) / F.lit(512.0) + 1 / n
+    within = reduce(lambda a, b: a & b, [(F.col(f"_r_{name}.below") / n <= share + error) & (F.col(f"_r_{name}.upto") / n >= share - error) for name, share in shares.items()])
+    return held.select("route_id", "direction_id", "stop_id", "is_weekend", "arrival_count", within.alias("within_bound"))
+
+
 def p4_runs(spark: SparkSession, folder: str) -> DataFrame:
     return collapse_runs(table(spark, folder, "temp_vehicle_events_stage"))
 
@@ -63,6 +80,7 @@ def p7_by_batches(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "p3_found": p3_found,
     "p3_percentiles": p3_percentiles,
+    "p3_within_bound": p3_within_bound,
     "p4_found": p4_found,
     "p4_collapsed": p4_collapsed,
     "p6_found": p6_found,
@@ -107,6 +125,12 @@ shares as (
   from historical_stop_baselines_fallback b
   join visits h on h.route_id = b.route_id and h.direction_id = b.direction_id and h.stop_id = b.stop_id and h.is_weekend = b.is_weekend group by all)
 select route_id, direction_id, stop_id, is_weekend::int as is_weekend from shares where abs(fm - 0.5) > 0.1 or abs(fq - 0.25) > 0.1""",
+    "p3_within_bound": """
+with visits as (
+  select any_value(route_id) as route_id, any_value(direction_id) as direction_id, stop_id, any_value(is_weekend) as is_weekend
+  from historical_stop_features where arrival_deviation_seconds is not null and not isnan(arrival_deviation_seconds)
+  group by service_date, trip_id, stop_sequence, stop_id)
+select route_id, direction_id, stop_id, is_weekend, count(*) as arrival_count, true as within_bound from visits group by all""",
     "p4_found": _RUNS + "select vehicle_id, trip_id, t0 // 1000000 as run_start_s, t1 // 1000000 as run_end_s from collapsed where n >= 3",
     "p4_collapsed": _RUNS + "select vehicle_id, trip_id, t0 // 1000000 as run_start_s, n, (t1 - t0) / 1e6 as duration_s, status::varchar as status, sequence::varchar as sequence from collapsed",
     "p6_found": """

@@ -36,13 +36,22 @@ def encoder(ranks: bytes):
     import tiktoken
 
     name = "ranks-" + hashlib.sha256(ranks).hexdigest()[:16]
-    cache = tiktoken.registry.ENCODINGS
+    # Functions come to a worker anew with each task; what outlives a task there is the imported module.
+    cache = tiktoken.__dict__.setdefault("_encoders_by_ranks", {})
     if name not in cache:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines()) if a}
         cache[name] = tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
     return cache[name]
 
 
+def encode_run(enc, data: bytes) -> list[int]:
+    """Ids of one unsplit run. Only here is a method used that the tokenizer's library does not declare public."""
+    method = getattr(enc, "_encode_single_piece", None)
+    if method is None:
+        raise RuntimeError("this version of tiktoken cannot encode a run of bytes without splitting it; 0.5 and later can")
+    return method(data)
+
+
 def kind(c: str) -> str:
     """Letter, number, space or other; ? where versions of Unicode may differ."""
     if c.isspace() or c in "\x85":
@@ -104,7 +113,7 @@ def join_ids(left: list[int], right: list[int], enc) -> list[int]:
     width = 4
     while True:
         a, b = min(width, len(left)), min(width, len(right))
-        window = enc._encode_single_piece(enc.decode_bytes(left[-a:]) + enc.decode_bytes(right[:b]))
+        window = encode_run(enc, enc.decode_bytes(left[-a:]) + enc.decode_bytes(right[:b]))
         whole_left, whole_right = a == len(left), b == len(right)
         if (whole_left or window[0] == left[-a]) and (whole_right or window[-1] == right[b - 1]):
             return left[: len(left) - a] + window + right[b:]
@@ -124,7 +133,7 @@ def encode_long(text: str, enc, size: int) -> list[int]:
     run: list[list[int]] = []
     for inner, piece in pieces(text, size):
         if inner:
-            run.append(enc._encode_single_piece(piece.encode()))
+            run.append(encode_run(enc, piece.encode()))
             continue
         out += concatenate(run, enc)
         run = []
@@ -160,7 +169,7 @@ def _encode_pieces(batches: Iterator[pa.RecordBatch], ranks) -> Iterator[pa.Reco
     enc = encoder(ranks.value)
     for batch in batches:
         pairs = zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())
-        ids = [enc._encode_single_piece(t.encode()) if inner else enc.encode_ordinary(t) for inner, t in pairs]
+        ids = [encode_run(enc, t.encode()) if inner else enc.encode_ordinary(t) for inner, t in pairs]
         yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(ids, type=pa.list_(pa.int32()))], names=["id", "digest", "no", "inner", "ids"])
 
 

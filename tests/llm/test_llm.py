@@ -59,6 +59,15 @@ def test_summaries_of_days_merge(spark):
     assert r.n == 4000 and abs(r.m - 2000) <= 4000 * (error_bound(4000, 32) + 1 / 32)
 
 
+def test_summaries_of_another_size_are_refused(spark):
+    df = spark.range(5000).select(F.lit("g").alias("g"), F.col("id").cast("double").alias("x"))
+    for k, other in ((64, 32), (32, 64)):
+        with pytest.raises(Exception, match="is not of summaries of"):
+            merge_summaries(summarise(df, ["g"], "x", k), ["g"], other).collect()
+    whole = merge_summaries(summarise(df.drop("g"), [], "x", 64), [], 64)
+    assert packed(whole, []).first().n == 5000
+
+
 def test_percentiles_of_nothing(spark):
     df = spark.createDataFrame([], "g string, x double, level int, vals int")
     assert summarise(df, ["g"], "x").count() == 0
