@@ -147,3 +147,41 @@ chosen as (
 select tbl, row_id, us // 1000 as instant_ms from chosen
 union all
 select tbl, row_id, coalesce(instant, epoch_us(wall) + part - ahead::bigint * 1000000) // 1000 from read where instant is not null or (ahead is not null and wall is not null)"""
+
+# The rule ping by ping, as a state per vehicle: the stretch at hand (pings, sums, first and last time) and one ping elsewhere that waits.
+SQL["p1_found"] = """
+with recursive fixes as (
+  select *, row_number() over (partition by ek order by ingestion_timestamp, stage_row) as rn from (
+    select *, coalesce(right(regexp_replace(lower(event_key), '[^0-9a-f]', '', 'g'), 64), 'row:' || stage_row) as ek from temp_vehicle_events_stage
+    where vehicle_id is not null and vehicle_timestamp is not null and latitude is not null and longitude is not null and not isnan(latitude) and not isnan(longitude))),
+pings as (
+  select vehicle_id, epoch_us(vehicle_timestamp) as t, latitude as lat, longitude as lon, row_number() over (partition by vehicle_id order by vehicle_timestamp, stage_row) as i from fixes where rn = 1),
+steps as (
+  select vehicle_id, i, t, 0 as segment, 1 as n, lat as slat, lon as slon, t as t0, t as t1, null::bigint as pt, null::double as plat, null::double as plon, null::bigint as c0, null::bigint as c1, null::int as cn, 0 as cs
+  from pings where i = 1
+  union all
+  select vehicle_id, i, t, segment + silent::int,
+    case when restart then 1 when near then n + 1 when pt is null then n when pnear then 2 else 1 end,
+    case when restart then lat when near then slat + lat when pt is null then slat when pnear then plat + lat else plat end,
+    case when restart then lon when near then slon + lon when pt is null then slon when pnear then plon + lon else plon end,
+    case when restart then t when near or pt is null then t0 else pt end,
+    case when restart or near then t when pt is null then t1 when pnear then t else pt end,
+    case when restart or near then null when pt is null then t when pnear then null else t end,
+    case when restart or near then null when pt is null then lat when pnear then null else lat end,
+    case when restart or near then null when pt is null then lon when pnear then null else lon end,
+    case when closes then t0 end, case when closes then t1 end, case when closes then n end, segment
+  from (
+    select *, restart or not near and pt is not null as closes from (
+      select s.vehicle_id, p.i, p.t, p.lat, p.lon, s.segment, s.n, s.slat, s.slon, s.t0, s.t1, s.pt, s.plat, s.plon, p.t - s.t > 1800000000 as silent, p.t - s.t > 1800000000 as restart,
+        2 * 6371008.8 * asin(sqrt(least(1.0, power(sin(radians(p.lat - s.slat / s.n) / 2), 2) + cos(radians(s.slat / s.n)) * cos(radians(p.lat)) * power(sin(radians(p.lon - s.slon / s.n) / 2), 2)))) <= 75 as near,
+        coalesce(2 * 6371008.8 * asin(sqrt(least(1.0, power(sin(radians(p.lat - s.plat) / 2), 2) + cos(radians(s.plat)) * cos(radians(p.lat)) * power(sin(radians(p.lon - s.plon) / 2), 2)))) <= 75, false) as pnear
+      from steps s join pings p on p.vehicle_id = s.vehicle_id and p.i = s.i + 1))),
+runs as (
+  select vehicle_id, c0 as t0, c1 as t1, cn as n, cs as segment from steps where c0 is not null
+  union all
+  select vehicle_id, t0, t1, n, segment from steps qualify row_number() over (partition by vehicle_id order by i desc) = 1),
+stops as (
+  select vehicle_id, t0, t1, segment, lag(t1) over w as before, lag(segment) over w as segment_before from runs where n > 1 and t1 - t0 >= 180000000 window w as (partition by vehicle_id order by t0))
+select vehicle_id, 'stop' as kind, t0 // 1000000 as start_s, t1 // 1000000 as end_s from stops
+union all
+select vehicle_id, 'trip', before // 1000000, t0 // 1000000 from stops where segment_before = segment"""
