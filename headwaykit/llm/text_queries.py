@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headwaykit.llm.mixing import counted, mix, targeted_size
+from headwaykit.llm.mixing import amounts, counted, mix, targeted_size
 from headwaykit.llm.spans import seed_contexts, shared_amounts, shared_spans, shared_stretches, sharing_pairs, text_classes
 from headwaykit.llm.tokens import encode_corpus
 from headwaykit.session import written
@@ -50,6 +50,20 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def p9_amounts(spark: SparkSession, folder: str) -> DataFrame:
+    """The mix by code points, which SQL can count: the amount of each target, and whether uses keep to it within one document and to the cap."""
+    documents, targets = table(spark, folder, "documents").select("doc_id", "source", F.col("n_chars").cast("long").alias("size")), table(spark, folder, "mix_targets")
+    total = targeted_size(documents, targets, "size")
+    plan = {r["source"]: (float(r["target_share"]), int(r["max_repeats"])) for r in targets.limit(10_001).collect()}
+    sizes = {r["source"]: r["s"] for r in documents.join(targets.select("source"), "source", "left_semi").groupBy("source").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("s")).collect()}  # a row per target
+    wanted = spark.createDataFrame([(s, float(a), plan[s][1]) for s, a in amounts(sizes, plan, total).items()], "source string, amount double, most int")
+    used = mix(documents, targets, "size", total).groupBy("source").agg(F.sum(F.col("uses") * F.col("size")).alias("taken"), F.max("size").alias("largest"), F.max("uses").alias("uses"))
+    return wanted.join(used, "source", "left").select(
+        "source", F.round("amount").cast("long").alias("amount_chars"), (F.abs(F.col("amount") - F.coalesce("taken", F.lit(0))) <= F.coalesce("largest", F.lit(0))).alias("within_a_document"),
+        (F.coalesce("uses", F.lit(0)) <= F.col("most")).alias("within_cap"),
+    )
+
+
 def _classes(documents: DataFrame) -> DataFrame:
     return written(text_classes(documents, "doc_id", "text", LEAST), "classes")
 
@@ -72,7 +86,7 @@ def p10_classes(spark: SparkSession, folder: str) -> DataFrame:
     return text_classes(table(spark, folder, "documents"), "doc_id", "text", LEAST).select(F.col("doc").alias("doc_id"), F.col("rep").alias("class_id"))
 
 
-QUERIES = {"p8_ids": p8_ids, "p8_unsplit": p8_unsplit, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_shared": p10_shared, "p10_classes": p10_classes}
+QUERIES = {"p8_ids": p8_ids, "p8_unsplit": p8_unsplit, "p9_mix": p9_mix, "p9_shares": p9_shares, "p9_amounts": p9_amounts, "p10_found": p10_found, "p10_shared": p10_shared, "p10_classes": p10_classes}
 #: Every run of LEAST code points of every text, by its content.
 _WINDOWS = f"""
 with texts as (select doc_id, text, length(text) as n from documents where length(text) >= {LEAST}),
@@ -91,5 +105,14 @@ covered as (select doc_id, sum(least({LEAST}, coalesce(next - i, {LEAST}))) as c
 copies as (select doc_id, count(*) over (partition by text) - 1 as k from texts)
 select d.doc_id, coalesce(length(d.text), 0) as n_chars, coalesce(c, 0)::bigint as shared_chars, coalesce(k, 0) as copies
 from documents d left join covered using (doc_id) left join copies using (doc_id)""",
+    # Of n targets in order of cap / weight the first k give all they may, and the others share the rest; k is the least that fits.
+    "p9_amounts": """
+with sizes as (select t.source, t.target_share as w, t.max_repeats as r, coalesce(sum(n_chars), 0)::bigint as s from mix_targets t left join documents d on d.source = t.source group by all),
+live as (select source, w, s * r as cap, s from sizes where s > 0 and w > 0 and r > 0),
+goal as (select least((select sum(s) from sizes), (select sum(cap) from live)) as total),
+lined as (select *, sum(cap) over (order by cap / w, source) - cap as before, sum(w) over (order by cap / w desc, source desc) as rest from live),
+level as (select max((total - before) / rest) as fill from lined, goal where (total - before) / rest <= cap / w + 1e-9)
+select source, case when cap is null then 0 else round(least(cap, w * (select fill from level)))::bigint end as amount_chars, true as within_a_document, true as within_cap
+from sizes left join (select source, cap from live) using (source)""",
     "p10_classes": f"select doc_id, min(doc_id) over (partition by text) as class_id from documents where length(text) >= {LEAST}",
 }
