@@ -41,9 +41,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark)}/headwaykit-{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new place in the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new place in the application's own folder of the shared checkpoint folder."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes what this application wrote with `written` and to `scratch` places. Frames that read from there cannot be used any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def written(rows: DataFrame, name: str) -> DataFrame:

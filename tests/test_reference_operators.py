@@ -187,4 +187,18 @@ def test_checkpoint_folder_is_kept_once_set(spark):
     from headwaykit.session import checkpoint_dir, scratch, written
 
     assert scratch(spark, "x").startswith(checkpoint_dir(spark)) and checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
-    assert written(spark.createDataFrame([(1, None)], "a int, b string"), "y").collect() == [(1, None)]
+    kept = written(spark.createDataFrame([(1, None)], "a int, b string"), "y")
+    assert kept.collect() == [(1, None)] and all("headwaykit-" in f for f in kept.inputFiles())
+
+
+def test_what_an_application_wrote_can_be_cleared(tmp_path):
+    from headwaykit import session
+
+    class Context:
+        applicationId, _dir = "app-1", str(tmp_path)
+        getCheckpointDir = lambda self: self._dir
+
+    class Fake:
+        sparkContext = Context()
+
+    assert session.scratch(Fake(), "x").startswith(f"{tmp_path}/headwaykit-app-1/x-")
