@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from headwaykit.functions.timeutil import clock_seconds, epoch_or_null, fractional_seconds, is_weekend, iso_day, local_date, local_hour, localise, seconds_between
 from headwaykit.operators import baselines, calendar, coverage, dedup, matching, performance, quality, rollups, scoring, serving, upsert
+from headwaykit.operators.inference import infer_stops
 from headwaykit.operators.matching import GRAIN
 from headwaykit.plans.views import VISIT, Views
+from headwaykit.session import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -543,8 +545,6 @@ def _(v: Views) -> DataFrame:
 @query("t4_affected_trips", f"""select service_date::varchar as service_date, {', '.join(D9)} from stops where (feed_checksum, service_date, trip_id) in (select (feed_checksum, service_date, trip_id) from m where ingestion_timestamp >= (select max(ingestion_timestamp) - interval 30 minute from m))""", "stops")
 def _(v: Views) -> DataFrame:
     """Trips touched in the last half hour, recomputed whole."""
-    from headwaykit.operators.inference import infer_stops
-
     since = v.matches().agg(F.max("event_ingestion_timestamp")).first()[0]
     recent = v.matches().where(F.col("event_ingestion_timestamp") >= F.lit(since) - F.expr("interval 30 minutes"))
     return infer_stops(v.matches(), v.events(), recent).select(text("service_date"), *D9)
@@ -656,7 +656,9 @@ def _(v: Views) -> DataFrame:
 
 def _violations(v: Views) -> DataFrame:
     """The standing assertions over the pipeline's tables, with the number of rows that violate each."""
-    scores, hourly, base, stops, matches = _scores(v), rollups.route_hourly(_scores(v)), v.baselines(), v.stops(), v.matches()
+    # Each table is looked at several times: written once.
+    scores, base, matches, history = (written(df, "checked") for df in (_scores(v), v.baselines(), v.matches(), v.history()))
+    stops, hourly = written(infer_stops(matches), "checked"), rollups.route_hourly(scores)
     fence = F.col("upper_anomaly_fence_seconds")
     checks = {
         "matches_unique": quality.unique(matches, ["event_key"]),
@@ -671,7 +673,7 @@ def _violations(v: Views) -> DataFrame:
         "route_hour_rate": quality.within(hourly, "anomaly_rate_percent", 0, 100),
         "baselines_unique": quality.unique(base, ["baseline_level", *baselines.KEYS, "service_hour"]),
         "baselines_valid": quality.holds(base, (F.col("observation_count") >= 30) & (F.col("q1_delay_seconds") <= F.col("median_delay_seconds")) & (F.col("median_delay_seconds") <= F.col("q3_delay_seconds")) & (F.col("iqr_delay_seconds") >= 0)),
-        "history_unique": quality.unique(v.history(), VISIT),
+        "history_unique": quality.unique(history, VISIT),
     }
     return quality.violations(checks)
 

@@ -318,9 +318,8 @@ def _(v: Views) -> DataFrame:
 @query("s3_file_facts", "select count(*) as rows, 22 as columns from historical_stop_features")
 def _(v: Views) -> DataFrame:
     """What footers tell, without reading rows."""
-    paths = v.table("historical_stop_features").inputFiles()
-    facts = history_files.file_facts([p.removeprefix("file://") for p in paths])
-    return v.spark.createDataFrame(facts).agg(F.sum("rows").alias("rows"), F.max("columns").cast("int").alias("columns"))
+    paths = v.spark.createDataFrame([(p,) for p in v.table("historical_stop_features").inputFiles()], "path string")
+    return history_files.all_file_facts(paths).agg(F.sum("rows").alias("rows"), F.max("columns").cast("int").alias("columns"))
 
 
 @query("s7_candidate_files", """with f as (select distinct 'snap/' || strftime(ingestion_timestamp, '%Y-%m-%d') || '/' || strftime(ingestion_timestamp, '%Y%m%dT%H%M%SZ') || '.pb' as path, date_trunc('second', ingestion_timestamp) as arrived

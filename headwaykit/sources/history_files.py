@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -30,6 +32,18 @@ def file_facts(paths: list[str]) -> list[dict]:
     return facts
 
 
+def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        facts = file_facts([p.removeprefix("file://").removeprefix("file:") for p in batch.column(0).to_pylist()])
+        if facts:
+            yield pa.RecordBatch.from_pylist([{**f, "path": p} for f, p in zip(facts, batch.column(0).to_pylist())], schema=pa.schema([("path", pa.string()), ("rows", pa.int64()), ("row_groups", pa.int64()), ("columns", pa.int64())]))
+
+
+def all_file_facts(files: DataFrame) -> DataFrame:
+    """file_facts of many files (`path`, on a file system all workers mount), read where the tasks run."""
+    return files.select("path").repartition("path").mapInArrow(_facts, "path string, rows long, row_groups long, columns long")
+
+
 def in_dates(rows: DataFrame, column: str, first: str | None = None, last: str | None = None) -> DataFrame:
     """Optional inclusive range of dates; on a partition column it prunes files."""
     rows = rows.where(F.col(column) >= F.lit(first).cast("date")) if first else rows
