@@ -19,6 +19,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -249,11 +250,21 @@ def alignments(short: tuple, long: tuple, period: str, k: int, margin: int) -> I
             yield a, b, _common(left_a, left_b), core + _common(right_a, right_b)
 
 
+#: What a pair of seeds brings: where they are, how much stands beside both where that is alike, and the surroundings only where it is not.
+PAIR = ["doc_x", "doc_y", "place_x", "place_y", "left", "right", "run_x", "run_y", "step_x", "step_y", "left_x", "left_y", "right_x", "right_y", "period_x", "period_y"]
+
+
 def _extend(batches: Iterator[pa.RecordBatch], k: int, margin: int) -> Iterator[pa.RecordBatch]:
     """Pairs of seeds to repeats (doc_a, doc_b, diagonal, start_a, end_a)."""
+    names = ["doc_a", "doc_b", "diagonal", "start_a", "end_a"]
     for batch in batches:
+        alike = batch.column(4).is_valid()
+        plain = batch.filter(alike)
+        if plain.num_rows:
+            a, b, p, q, left, right = (plain.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(6))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (a, b, p - q, p - left, p + k + right)], names=names)
         out: list[tuple[int, int, int, int, int]] = []
-        for a, b, p, q, run_a, run_b, step_a, step_b, left_a, left_b, right_a, right_b, period_a, period_b in zip(*(c.to_pylist() for c in batch.columns)):
+        for a, b, p, q, _, _, run_a, run_b, step_a, step_b, left_a, left_b, right_a, right_b, period_a, period_b in zip(*(c.to_pylist() for c in batch.filter(pc.invert(alike)).columns)):
             if not run_a and not run_b:
                 out.append((a, b, p - q, p - _common(left_a, left_b), p + k + _common(right_a, right_b)))
                 continue
@@ -265,7 +276,6 @@ def _extend(batches: Iterator[pa.RecordBatch], k: int, margin: int) -> Iterator[
                 found = ((p + y, q + x, left, right) for x, y, left, right in alignments(two, one, period, k, margin))
             out += [(a, b, at_a - at_b, at_a - left, at_a + k + right) for at_a, at_b, left, right in found]
         if out:
-            names = ["doc_a", "doc_b", "diagonal", "start_a", "end_a"]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
 
 
@@ -284,9 +294,9 @@ def seed_contexts(documents: DataFrame, classes: DataFrame, id_column: str = "do
     if window > k:
         raise ValueError("window must not exceed k")
     reps = classes.where("doc = rep").select("doc")
-    # Ids repeat only if rows do; one row of each is enough.
+    # Ids repeat only if rows do, and anchors or contexts given twice change nothing below.
     texts = documents.select(F.col(id_column).cast("long").alias("doc"), F.make_valid_utf8(text).alias("text")).where(F.char_length("text") >= k + window - 1)
-    used = texts.join(reps, "doc", "left_semi").dropDuplicates(["doc"])
+    used = texts.join(reps, "doc", "left_semi")
     anchors = written(used.mapInArrow(partial(_anchors, k=k, window=window), ANCHOR), "anchors")
     repeated = anchors.groupBy("hash").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("hash")
     seeds = anchors.join(repeated, "hash", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("hash", "place", "run", "step")).alias("seeds"))
@@ -303,9 +313,12 @@ def shared_spans(contexts: DataFrame, least: int = 240, k: int = K, window: int
     if k + window - 1 > least:
         raise ValueError("k + window - 1 must not exceed the least length")
     x, y = contexts.alias("x"), contexts.alias("y")
-    both = [F.col(f"{side}.{c}").alias(f"{c}_{side}") for c in ("doc", "place", "run", "step", "left", "right", "period") for side in "xy"]
     same = (F.col("x.hash") == F.col("y.hash")) & (F.col("x.check") == F.col("y.check")) & (F.col("x.doc") < F.col("y.doc"))
-    met = x.join(y, same).select(*both)
+    alike = (F.col("x.run") == 0) & (F.col("y.run") == 0) & (F.col("x.left") == F.col("y.left")) & (F.col("x.right") == F.col("y.right"))
+    beside = {c: F.when(alike, F.char_length(f"x.{c}")) for c in ("left", "right")}
+    both = {f"{c}_{side}": F.col(f"{side}.{c}") for c in ("doc", "place", "run", "step", "left", "right", "period") for side in "xy"}
+    texts = {c: F.when(~alike, both[c]) for c in PAIR[10:]}
+    met = x.join(y, same).select(*[({**both, **beside, **texts})[c].alias(c) for c in PAIR])
     pieces = met.mapInArrow(partial(_extend, k=k, margin=window - 1), "doc_a long, doc_b long, diagonal long, start_a long, end_a long")
     line = Window.partitionBy("doc_a", "doc_b", "diagonal").orderBy("start_a", "end_a")
     reach = F.max("end_a").over(line.rowsBetween(Window.unboundedPreceding, -1))
