@@ -4,7 +4,8 @@ Texts up to piece_chars are encoded as they are. Longer ones are cut and encoded
 where the tokenizer's own splitting always has a border (then the ids simply follow each other), or,
 inside a run that it never splits, anywhere. The ids of such a run are put together by tree
 concatenation: around each join a window of tokens is encoded again and widened until its first and
-last tokens are those of the two sides. A sequence of BPE tokens is the encoding of its bytes if and
+last tokens are those of the two sides. The tree goes over tasks: blocks of pieces are joined where they are
+encoded, and only what they leave meets. A sequence of BPE tokens is the encoding of its bytes if and
 only if every two neighbours are the encoding of theirs, so the result is then exact.
 """
 
@@ -24,6 +25,10 @@ from pyspark.sql import functions as F
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+#: Pieces of a text that one task encodes and joins; the tree's next level joins what these leave.
+BLOCK_PIECES = 64
+
+
 def vocabulary_file() -> str:
     """Place of the rank file on this machine; any other path can be given instead."""
     import public_tokenizers
@@ -165,12 +170,60 @@ def _cut(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatc
             )
 
 
-def _encode_pieces(batches: Iterator[pa.RecordBatch], ranks) -> Iterator[pa.RecordBatch]:
-    enc = encoder(ranks.value)
+def fold(pieces: list[tuple[bool, list[int]]], enc) -> list[tuple[bool, list[int]]]:
+    """(inner, ids) of consecutive pieces to at most three: what may go on before them, what is settled, what may go on after them."""
+    first = next((i for i, (inner, _) in enumerate(pieces) if not inner), len(pieces))
+    last = next((i for i in range(len(pieces), 0, -1) if not pieces[i - 1][0]), first)
+    settled: list[int] = []
+    run: list[list[int]] = []
+    for inner, ids in pieces[first:last]:
+        if inner:
+            run.append(ids)
+            continue
+        settled += concatenate(run, enc)
+        run = []
+        settled += ids
+    parts = [(True, concatenate([ids for _, ids in pieces[:first]], enc))] if first else []
+    parts += [(False, settled)] if last > first else []
+    return parts + ([(True, concatenate([ids for _, ids in pieces[last:]], enc))] if last < len(pieces) else [])
+
+
+def _encode_blocks(batches: Iterator[pa.RecordBatch], ranks) -> Iterator[pa.RecordBatch]:
+    """Encodes pieces and folds those of a block; they come sorted by document, text, block and number.
+
+    A piece given k times (its text was) is encoded once; what its block folds to leaves k times.
+    """
+    enc, open_block, last, copies, held, kind_of = encoder(ranks.value), None, -1, 0, [], None
+    rows: list[tuple] = []
+
+    def close() -> None:
+        if held:
+            number = held[0][0]
+            for n, (inner, ids) in enumerate(fold([(inner, ids) for _, inner, ids in held], enc)):
+                rows.extend([(*open_block[:2], number + n, inner, ids)] * copies)  # a block has at least as many pieces as it folds to
+
+    def flush() -> pa.RecordBatch:
+        doc, digest, no, inner, ids = zip(*rows)
+        rows.clear()
+        arrays = [pa.array(doc, type=kind_of), pa.array(digest, pa.binary()), pa.array(no, pa.int32()), pa.array(inner, pa.bool_()), pa.array(ids, type=pa.list_(pa.int32()))]
+        return pa.RecordBatch.from_arrays(arrays, names=["id", "digest", "no", "inner", "ids"])
+
     for batch in batches:
-        pairs = zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())
-        ids = [encode_run(enc, t.encode()) if inner else enc.encode_ordinary(t) for inner, t in pairs]
-        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(ids, type=pa.list_(pa.int32()))], names=["id", "digest", "no", "inner", "ids"])
+        kind_of = batch.schema.field(0).type
+        for doc, digest, no, inner, text, block in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            if (doc, digest, block) != open_block:
+                close()
+                open_block, last, copies, held = (doc, digest, block), -1, 0, []
+                if sum(len(r[4]) for r in rows) > 500_000:
+                    yield flush()
+            if no == last:
+                copies += len(held) == 1
+                continue
+            last, copies = no, copies or 1
+            held.append((no, inner, encode_run(enc, text.encode()) if inner else enc.encode_ordinary(text)))
+    close()
+    if rows:
+        yield flush()
 
 
 def _assemble(batches: Iterator[pa.RecordBatch], ranks, counts: bool) -> Iterator[pa.RecordBatch]:
@@ -229,6 +282,7 @@ def encode_corpus(documents: DataFrame, id_column: str = "doc_id", text: str = "
     is_long = F.coalesce(F.char_length("text"), F.lit(0)) > piece_chars
     short = picked.where(~is_long).mapInArrow(partial(_encode, ranks=ranks, counts=counts), schema)
     parts = picked.where(is_long).mapInArrow(partial(_cut, size=piece_chars), f"id {key}, digest binary, no int, inner boolean, text string")
-    encoded = parts.repartition("id", "digest", "no").mapInArrow(partial(_encode_pieces, ranks=ranks), f"id {key}, digest binary, no int, inner boolean, ids array<int>")
+    blocks = parts.withColumn("block", F.floor(F.col("no") / F.lit(BLOCK_PIECES)).cast("int")).repartition("id", "digest", "block").sortWithinPartitions("id", "digest", "block", "no")
+    encoded = blocks.mapInArrow(partial(_encode_blocks, ranks=ranks), f"id {key}, digest binary, no int, inner boolean, ids array<int>")
     long = encoded.repartition("id").sortWithinPartitions("id", "digest", "no").mapInArrow(partial(_assemble, ranks=ranks, counts=counts), schema)
     return short.unionByName(long).withColumnRenamed("id", id_column)

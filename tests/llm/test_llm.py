@@ -15,7 +15,8 @@ from headwaykit.llm.nearest import match_nearest
 from headwaykit.llm.quantiles import error_bound, merge_summaries, packed, percentile_columns, rank_share, summarise
 from headwaykit.llm.runs import collapse_runs
 from headwaykit.llm.spans import Hasher, anchor_table, seed_contexts, shared_amounts, shared_spans, shared_stretches, sharing_pairs, text_classes
-from headwaykit.llm.tokens import encode_corpus, encode_long, encoder, vocabulary_file
+from headwaykit.llm.tokens import encode_corpus, encode_long, encode_run, encoder, fold, vocabulary_file
+from headwaykit.llm.tokens import pieces as cut
 
 START = datetime(2026, 3, 1, 20, 0, tzinfo=timezone.utc)
 
@@ -265,6 +266,26 @@ def test_corpus_equals_the_tokenizer(spark, enc):
     assert encode_corpus(df.where("false")).count() == 0
 
 
+def test_texts_of_many_blocks(spark, enc):
+    random.seed(12)
+    runs = ["x" * 3000, "中" * 700, "ab cd " * 300, "9" * 2000, "\n" * 900, "mixed'run's" * 60, "-=" * 400]
+    texts = ["".join(random.choice(runs) for _ in range(random.randrange(1, 7))) for _ in range(25)] + ["q" * 40_000, "word " * 5000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(3, texts[3]), (3, texts[3])], "doc_id long, text string").repartition(5)
+    got = [(r.doc_id, list(r.ids)) for r in encode_corpus(df, piece_chars=20).collect()]
+    want = {i: enc.encode_ordinary(t) for i, t in enumerate(texts)}
+    assert len(got) == len(texts) + 2 and all(ids == want[i] for i, ids in got) and sum(i == 3 for i, _ in got) == 3
+
+
+def test_folding_keeps_the_ids(enc):
+    pieces = lambda text, size: [(inner, encode_run(enc, p.encode()) if inner else enc.encode_ordinary(p)) for inner, p in cut(text, size)]
+    for text in ("x" * 500, "a b " + "y" * 300 + " c " + "z" * 300, "plain words only", "9" * 90 + " " + "w" * 200):
+        parts = pieces(text, 16)
+        for k in (1, 3, 100):
+            folded = [f for i in range(0, len(parts), k) for f in fold(parts[i : i + k], enc)]
+            whole = fold(folded, enc)
+            assert len(whole) <= 3 and [i for _, ids in whole for i in ids] == enc.encode_ordinary(text)
+
+
 def test_rows_of_one_id_give_a_row_each(spark, enc):
     texts = ["some words " * 30, "x" * 400, "x" * 400, "other words " * 30, "short", "short", None]
     df = spark.createDataFrame([(n // 4, t) for n, t in enumerate(texts)] + [(None, "9" * 300)] * 2, "doc_id long, text string")
