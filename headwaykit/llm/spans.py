@@ -2,8 +2,8 @@
 
 Anchors: of every `window` consecutive k-grams the one of least hash (winnowing), with k + window - 1
 at most the least length, so any two occurrences of a passage of that length share an anchor at the
-same place in it. Anchors whose hash occurs in one document only are dropped before any text moves. The
-others meet by hash, with just the text around them: a passage of which an anchor is known ends less
+same place in it. Anchors whose hash occurs in one document only are dropped before any text moves, and
+those that follow each other alike in all documents are one seed (a chain). Seeds meet by hash, with just the text around them: a passage of which an anchor is known ends less
 than `window` code points beyond its outermost anchors, so extending each pair of anchors by that much
 and joining what overlaps on one diagonal gives the maximal repeats exactly. How much of a document is
 shared needs no pairs: anchors with equal surroundings are counted as one class, and of those that stand alone it is
@@ -139,7 +139,7 @@ def groups_of(texts: list[str], block: int, reach: int) -> Iterator[list[tuple[i
 
 
 ANCHOR = "hash long, doc long, place int, run int, step int"
-CONTEXT = ANCHOR + ", check long, left string, right string, period string"
+CONTEXT = ANCHOR + ", span int, check long, left string, right string, period string"
 
 
 def anchor_table(texts: list[str], hasher: Hasher, k: int, window: int, block: int = BLOCK) -> tuple[np.ndarray, ...]:
@@ -183,16 +183,16 @@ def stretch(text: str, place: int, run: int, k: int, window: int) -> tuple[int,
 def _contexts(batches: Iterator[pa.RecordBatch], k: int, margin: int) -> Iterator[pa.RecordBatch]:
     """Rows (doc, text, seeds) to one row per seed with what stands beside its gram (left: read backwards).
 
-    check is a second hash of the gram, of another kind, so that together 128 bits tell grams apart; period is what a
-    periodic stretch repeats.
+    check is a second hash of the gram (of all that a chain covers), of another kind, so that together 128 bits tell
+    grams apart; period is what a periodic stretch repeats.
     """
     for batch in batches:
         rows: list[tuple] = []
         for doc, text, seeds in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            for h, p, run, step in sorted({(seed["hash"], *stretch(text, seed["place"], seed["run"], k, margin + 1)) for seed in seeds}):
-                end = p + run + k
-                check = int.from_bytes(hashlib.blake2b(text[p : p + k].encode(), digest_size=8).digest(), "big", signed=True)
-                rows.append((h, doc, p, run, step, check, text[max(0, p - margin) : p][::-1], text[end : end + margin], text[p : p + step] if step else None))
+            for h, p, run, step, span in sorted({_whole(text, seed, k, margin) for seed in seeds}):
+                end = p + run + span + k
+                check = int.from_bytes(hashlib.blake2b(text[p : p + span + k].encode(), digest_size=8).digest(), "big", signed=True)
+                rows.append((h, doc, p, run, step, span, check, text[max(0, p - margin) : p][::-1], text[end : end + margin], text[p : p + step] if step else None))
             if len(rows) > 20_000:
                 yield _context_batch(rows)
                 rows = []
@@ -200,9 +200,16 @@ def _contexts(batches: Iterator[pa.RecordBatch], k: int, margin: int) -> Iterato
             yield _context_batch(rows)
 
 
+def _whole(text: str, seed: dict, k: int, margin: int) -> tuple[int, int, int, int, int]:
+    """(hash, place, run, step, span) of a seed; a lone anchor may be all that is seen of a periodic stretch, the anchors of a chain are not."""
+    if seed["span"]:
+        return seed["hash"], seed["place"], 0, 0, seed["span"]
+    return seed["hash"], *stretch(text, seed["place"], seed["run"], k, margin + 1), 0
+
+
 def _context_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string())
-    names = ["hash", "doc", "place", "run", "step", "check", "left", "right", "period"]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string())
+    names = ["hash", "doc", "place", "run", "step", "span", "check", "left", "right", "period"]
     return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), kinds)], names=names)
 
 
@@ -251,7 +258,7 @@ def alignments(short: tuple, long: tuple, period: str, k: int, margin: int) -> I
 
 
 #: What a pair of seeds brings: where they are, how much stands beside both where that is alike, and the surroundings only where it is not.
-PAIR = ["doc_x", "doc_y", "place_x", "place_y", "left", "right", "run_x", "run_y", "step_x", "step_y", "left_x", "left_y", "right_x", "right_y", "period_x", "period_y"]
+PAIR = ["doc_x", "doc_y", "place_x", "place_y", "left", "right", "span", "run_x", "run_y", "step_x", "step_y", "left_x", "left_y", "right_x", "right_y", "period_x", "period_y"]
 
 
 def _extend(batches: Iterator[pa.RecordBatch], k: int, margin: int) -> Iterator[pa.RecordBatch]:
@@ -261,12 +268,12 @@ def _extend(batches: Iterator[pa.RecordBatch], k: int, margin: int) -> Iterator[
         alike = batch.column(4).is_valid()
         plain = batch.filter(alike)
         if plain.num_rows:
-            a, b, p, q, left, right = (plain.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(6))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (a, b, p - q, p - left, p + k + right)], names=names)
+            a, b, p, q, left, right, span = (plain.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(7))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (a, b, p - q, p - left, p + span + k + right)], names=names)
         out: list[tuple[int, int, int, int, int]] = []
-        for a, b, p, q, _, _, run_a, run_b, step_a, step_b, left_a, left_b, right_a, right_b, period_a, period_b in zip(*(c.to_pylist() for c in batch.filter(pc.invert(alike)).columns)):
+        for a, b, p, q, _, _, span, run_a, run_b, step_a, step_b, left_a, left_b, right_a, right_b, period_a, period_b in zip(*(c.to_pylist() for c in batch.filter(pc.invert(alike)).columns)):
             if not run_a and not run_b:
-                out.append((a, b, p - q, p - _common(left_a, left_b), p + k + _common(right_a, right_b)))
+                out.append((a, b, p - q, p - _common(left_a, left_b), p + span + k + _common(right_a, right_b)))
                 continue
             period = min(filter(None, (period_a, period_b)), key=len)
             one, two = (run_a, step_a, left_a, right_a), (run_b, step_b, left_b, right_b)
@@ -299,11 +306,38 @@ def seed_contexts(documents: DataFrame, classes: DataFrame, id_column: str = "do
     used = texts.join(reps, "doc", "left_semi")
     anchors = written(used.mapInArrow(partial(_anchors, k=k, window=window), ANCHOR), "anchors")
     repeated = anchors.groupBy("hash").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("hash")
-    seeds = anchors.join(repeated, "hash", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("hash", "place", "run", "step")).alias("seeds"))
+    common = written(anchors.join(repeated, "hash", "left_semi"), "common")
+    seeds = chains(common, k).groupBy("doc").agg(F.collect_list(F.struct("hash", "place", "run", "step", "span")).alias("seeds"))
     # collect_list is bounded by the document's own length.
     return written(used.join(seeds, "doc").select("doc", "text", "seeds").mapInArrow(partial(_contexts, k=k, margin=window - 1), CONTEXT), "contexts")
 
 
+def chains(anchors: DataFrame, k: int) -> DataFrame:
+    """(doc, hash, place, run, step, span): anchors that follow each other alike wherever they occur, as one seed.
+
+    Two anchors are linked if after every occurrence of the first the second comes next, and before every occurrence of the
+    second the first, at one distance of at most k, so that their grams cover all between. What n documents share
+    then meets once for a passage and not once for each of its anchors. span is the way from a chain's first anchor, whose hash
+    stands for it, to its last. Periodic stretches are never linked.
+    """
+    line = Window.partitionBy("doc").orderBy("place")
+    around = anchors.withColumns({
+        "_next": F.lead("hash").over(line), "_gap": F.lead("place").over(line) - F.col("place"), "_open": F.coalesce(F.lead("run").over(line) == 0, F.lit(False)) & (F.col("run") == 0),
+        "_before": F.lag("hash").over(line), "_back": F.col("place") - F.lag("place").over(line), "_shut": F.coalesce(F.lag("run").over(line) == 0, F.lit(False)) & (F.col("run") == 0),
+    })
+    one = lambda c: F.min(c) == F.max(c)
+    ways = around.groupBy("hash").agg(
+        F.when(one("_next") & one("_gap") & F.min("_open") & (F.max("_gap") <= k), F.max("_next")).alias("next"), F.max("_gap").alias("gap"),
+        F.when(one("_before") & one("_back") & F.min("_shut"), F.max("_before")).alias("before"), F.max("_back").alias("back"),
+    )
+    x, y = ways.alias("x"), ways.alias("y")
+    linked = x.join(y, (F.col("x.next") == F.col("y.hash")) & (F.col("y.before") == F.col("x.hash")) & (F.col("x.gap") == F.col("y.back"))).select(F.col("y.hash").alias("hash"), F.lit(True).alias("_linked"))
+    marked = anchors.join(linked, "hash", "left").withColumn("_head", F.col("_linked").isNull())
+    numbered = marked.withColumn("_chain", F.sum(F.col("_head").cast("int")).over(line))
+    head = lambda c: F.max(F.when(F.col("_head"), F.col(c))).alias(c)
+    return numbered.groupBy("doc", "_chain").agg(head("hash"), F.min("place").alias("place"), head("run"), head("step"), (F.max("place") - F.min("place")).cast("int").alias("span")).drop("_chain")
+
+
 def shared_spans(contexts: DataFrame, least: int = 240, k: int = K, window: int = WINDOW) -> DataFrame:
     """Maximal repeats between representatives: doc_a < doc_b, start_a, start_b, length (code points, at least `least`).
 
@@ -317,8 +351,8 @@ def shared_spans(contexts: DataFrame, least: int = 240, k: int = K, window: int
     alike = (F.col("x.run") == 0) & (F.col("y.run") == 0) & (F.col("x.left") == F.col("y.left")) & (F.col("x.right") == F.col("y.right"))
     beside = {c: F.when(alike, F.char_length(f"x.{c}")) for c in ("left", "right")}
     both = {f"{c}_{side}": F.col(f"{side}.{c}") for c in ("doc", "place", "run", "step", "left", "right", "period") for side in "xy"}
-    texts = {c: F.when(~alike, both[c]) for c in PAIR[10:]}
-    met = x.join(y, same).select(*[({**both, **beside, **texts})[c].alias(c) for c in PAIR])
+    texts = {c: F.when(~alike, both[c]) for c in PAIR[11:]}
+    met = x.join(y, same).select(*[({**both, **beside, **texts, "span": F.col("x.span")})[c].alias(c) for c in PAIR])
     pieces = met.mapInArrow(partial(_extend, k=k, margin=window - 1), "doc_a long, doc_b long, diagonal long, start_a long, end_a long")
     line = Window.partitionBy("doc_a", "doc_b", "diagonal").orderBy("start_a", "end_a")
     reach = F.max("end_a").over(line.rowsBetween(Window.unboundedPreceding, -1))
@@ -331,19 +365,19 @@ def shared_spans(contexts: DataFrame, least: int = 240, k: int = K, window: int
 
 def _occurrences(batches: Iterator[pa.RecordBatch], k: int, margin: int) -> Iterator[pa.RecordBatch]:
     """Contexts to (hash, check, doc, first, last, left, right): the places of a gram; one row for those inside a periodic stretch, which have equal surroundings."""
-    names = ["hash", "check", "doc", "first", "last", "left", "right"]
+    names = ["hash", "check", "doc", "first", "last", "span", "left", "right"]
     for batch in batches:
         rows: list[tuple] = []
-        for h, doc, p, run, step, check, left, right, period in zip(*(c.to_pylist() for c in batch.columns)):
+        for h, doc, p, run, step, span, check, left, right, period in zip(*(c.to_pylist() for c in batch.columns)):
             if not run:
-                rows.append((h, check, doc, p, p, left, right))
+                rows.append((h, check, doc, p, p + span, span, left, right))
                 continue
             turns, near = run // step, -(-margin // step)
             inner = range(near, turns - near + 1)
             for i in [*range(min(near, turns + 1)), *inner[:1], *range(max(near, turns - near + 1), turns + 1)]:
                 last = inner[-1] if len(inner) and i == near else i
-                rows.append((h, check, doc, p + i * step, p + last * step, *beside((run, step, left, right), i * step, 0, period, k, margin)))
-        yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.string() if n in ("left", "right") else pa.int64()) for c, n in zip(list(zip(*rows)) or [[]] * 7, names)], names=names)
+                rows.append((h, check, doc, p + i * step, p + last * step, 0, *beside((run, step, left, right), i * step, 0, period, k, margin)))
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.string() if n in ("left", "right") else pa.int64()) for c, n in zip(list(zip(*rows)) or [[]] * 8, names)], names=names)
 
 
 def shared_stretches(contexts: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame:
@@ -356,27 +390,30 @@ def shared_stretches(contexts: DataFrame, k: int = K, window: int = WINDOW) -> D
     Surroundings are told apart by 128 bits of hash.
     """
     margin = window - 1
-    fields = "hash long, check long, doc long, first long, last long, left string, right string"
-    places = contexts.select("hash", "doc", "place", "run", "step", "check", "left", "right", "period").mapInArrow(partial(_occurrences, k=k, margin=margin), fields)
+    fields = "hash long, check long, doc long, first long, last long, span long, left string, right string"
+    places = contexts.select("hash", "doc", "place", "run", "step", "span", "check", "left", "right", "period").mapInArrow(partial(_occurrences, k=k, margin=margin), fields)
     around = [F.xxhash64(F.lit(seed), "left", F.lit("|"), "right").alias(f"c{seed}") for seed in (1, 2)]
     key = ["hash", "check", "c1", "c2"]
-    placed = written(places.select("hash", "check", *around, "doc", "first", "last", "left", "right"), "places")
+    placed = written(places.select("hash", "check", *around, "doc", "first", "last", "span", "left", "right"), "places")
     classes = placed.groupBy(*key).agg(
-        F.min("doc").alias("a"), F.max("doc").alias("b"), F.first("left").alias("left"), F.first("right").alias("right")
+        F.min("doc").alias("a"), F.max("doc").alias("b"), F.first("left").alias("left"), F.first("right").alias("right"), F.max("span").alias("span")
     )  # any member's texts: they are equal
-    low, high = F.lit(margin) - F.char_length("right"), F.char_length("left")
-    whole = classes.where((F.col("a") < F.col("b")) & (low <= high)).select(*key, low.alias("least"), high.alias("most"))
+    before, after = F.char_length("left"), F.char_length("right")
+    classes = classes.where(before + after + F.col("span") >= margin)
+    whole = classes.where("a < b").select(*key, before.alias("x"), after.alias("y"))
     several = classes.groupBy("hash", "check").agg(F.count("*").alias("n")).where("n > 1").select("hash", "check")
-    asked = classes.join(several, ["hash", "check"], "left_semi").where(low <= high).withColumn("at", F.explode(F.sequence(low, high)))
-    part = F.concat(F.left("left", F.col("at")), F.lit("|"), F.left("right", F.lit(margin) - F.col("at")))
-    views = asked.select(*key, "a", "b", "at", *[F.xxhash64(F.lit(seed), part).alias(f"w{seed}") for seed in (3, 4)])
-    view = ["hash", "check", "at", "w3", "w4"]
+    # How much before and after the gram makes up the length: x before asks for the rest after, and the other way round.
+    rest = lambda n: F.greatest(F.lit(0), F.lit(margin) - n - F.col("span").cast("int"))
+    left = F.transform(F.sequence(rest(after), before), lambda x: F.struct(x.alias("x"), rest(x).alias("y")))
+    right = F.transform(F.sequence(rest(before), after), lambda y: F.struct(rest(y).alias("x"), y.alias("y")))
+    asked = classes.join(several, ["hash", "check"], "left_semi").select("*", F.explode(F.array_distinct(F.concat(left, right))).alias("at")).select("*", "at.*")
+    part = F.concat(F.left("left", F.col("x")), F.lit("|"), F.left("right", F.col("y")))
+    views = asked.select(*key, "a", "b", "x", "y", *[F.xxhash64(F.lit(seed), part).alias(f"w{seed}") for seed in (3, 4)])
+    view = ["hash", "check", "x", "y", "w3", "w4"]
     met = views.groupBy(*view).agg(F.min("a").alias("a"), F.max("b").alias("b")).where("a < b").select(*view)
-    single = views.where("a = b").join(met, view, "left_semi").groupBy(*key).agg(F.min("at").alias("least"), F.max("at").alias("most"))
+    single = views.where("a = b").join(met, view, "left_semi").groupBy(*key).agg(F.max("x").alias("x"), F.max("y").alias("y"))
     spans = whole.unionByName(single)
-    return placed.select(*key, "doc", "first", "last").join(spans, key).select(
-        "doc", (F.col("first") - F.col("most")).alias("s"), (F.col("last") + (k + margin) - F.col("least")).alias("e")
-    )
+    return placed.select(*key, "doc", "first", "last").join(spans, key).select("doc", (F.col("first") - F.col("x")).alias("s"), (F.col("last") + k + F.col("y")).alias("e"))
 
 
 def sharing_pairs(spans: DataFrame, classes: DataFrame) -> DataFrame:
