@@ -441,7 +441,7 @@ def test_one_passage_in_ten_thousand_documents(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
     classes = text_classes(df, "doc_id", "text", 240)
     contexts = seed_contexts(df, classes)
-    assert contexts.count() < 25_000  # a chain, and what random surroundings have in common
+    assert contexts.count() < 40_000  # some ten anchors each without chains: a chain, and what random surroundings have in common
     rows = shared_amounts(df, shared_stretches(contexts), classes).collect()
     assert len(rows) == 10_000 and all(400 <= r.shared_chars <= 430 for r in rows)
 
